@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame
 from ..operators.events import event_order_columns
 from ..schemas import EVENT_COLUMNS
 
+# Spark's CSV writer trims white space around values by default; text
+# fields must survive a round trip unchanged.
 CSV_WRITE_OPTIONS = {"header": "true", "escape": '"', "quote": '"',
-                     "dateFormat": "yyyy-MM-dd", "nullValue": ""}
+                     "dateFormat": "yyyy-MM-dd", "nullValue": "",
+                     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def _maybe_single(df: DataFrame, single_file: bool) -> DataFrame:

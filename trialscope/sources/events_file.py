@@ -15,7 +15,8 @@ from .. import config as C
 from ..schemas import EVENT_COLUMNS, EVENTS, require_columns
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"',
-               "mode": "FAILFAST"}
+               "mode": "FAILFAST", "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false"}
 
 
 def _typed(df: DataFrame) -> DataFrame:
