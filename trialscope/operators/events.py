@@ -2,18 +2,23 @@
 
 Plan shape (one scan per input table):
 
-* `studies` is read once. Study type, active status and "any of the three
-  dates in the window" are plain column predicates, so they reach the parquet
+* `studies` is read with study type, active status and "any of the three
+  dates in the window" as plain column predicates, so they reach the parquet
   / JDBC scan.
-* `sponsors`, `interventions` and `conditions` are reduced to the candidate
-  studies with a left-semi join before they are aggregated to one row per
-  study. Spark broadcasts the candidate ids when they are small and uses a
-  shuffle join otherwise; either way the aggregation output is one row per
-  study, so the final left joins never fan out.
+* `sponsors`, `interventions` and `conditions` are reduced to one row per
+  study before any join, with map-side partial aggregation, so a study with
+  a huge number of rows costs one partial row per task in the shuffle.
+  The candidate studies are checkpointed once (they feed the size check,
+  the id filter and the final join). When they are few (a capped count against
+  `broadcast_ids_max`), their ids are broadcast and the three tables are
+  filtered map-side before aggregating; the shuffle then carries only rows
+  of upcoming studies. Otherwise the tables are aggregated whole and joined
+  with a shuffle join.
 * The summaries are joined once per study, then each study is unpivoted into
   up to three event rows with a generator (no self-union, no second scan).
 """
 
+
 from __future__ import annotations
 
 import datetime as _dt
@@ -25,6 +30,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import columns as X
 from ..schemas import EVENT_COLUMNS
+from .ranking import checkpoint_dir
 
 # Columns of the study that every event row carries.
 CARRY_COLUMNS = ("nct_id", "title", "status", "phase_std", "enrollment", "enrollment_type",
@@ -139,16 +145,39 @@ def lead_sponsor_by_study(studies: DataFrame, sponsors: DataFrame) -> DataFrame:
 
 # --- the event table -----------------------------------------------------------
 
+# Candidate ids broadcast to filter the N-per-study tables map-side, at most.
+# ~60 bytes per id in a broadcast hash relation: 1M ids is about 60 MB.
+BROADCAST_IDS_MAX = 1_000_000
+
+
+def broadcastable_ids(ids: DataFrame, cap: int) -> bool:
+    """True when `ids` has at most `cap` rows. The count stops at cap + 1, so
+    the check costs at most a bounded read beyond the filtered scan."""
+    return cap > 0 and ids.limit(cap + 1).count() <= cap
+
+
 def upcoming_events(studies: DataFrame, sponsors: DataFrame, interventions: DataFrame,
                     conditions: DataFrame, asof: _dt.date | None = None,
-                    months: int = C.TABLE_HORIZON_MONTHS, strategy: str = "explode") -> DataFrame:
+                    months: int = C.TABLE_HORIZON_MONTHS, strategy: str = "explode",
+                    broadcast_ids_max: int = BROADCAST_IDS_MAX) -> DataFrame:
     """The upcoming-milestone table (unsorted; see `sort_events`)."""
     months = C.check_months(months)
-    cand = upcoming_studies(studies, asof, months)
+    # The candidate studies are read by the size check, the id filter and the
+    # join: materialise them once in the reliable checkpoint folder.
+    checkpoint_dir(studies.sparkSession)
+    cand = upcoming_studies(studies, asof, months).checkpoint(eager=True)
     ids = cand.select("nct_id")
-    lead = lead_sponsors(sponsors.join(ids, "nct_id", "left_semi"))
-    iv = intervention_summary(interventions.join(ids, "nct_id", "left_semi"))
-    cond = condition_summary(conditions.join(ids, "nct_id", "left_semi"))
+    if broadcastable_ids(ids, broadcast_ids_max):
+        small = F.broadcast(ids)  # size checked just above
+
+        def keep(df: DataFrame) -> DataFrame:
+            return df.join(small, "nct_id", "left_semi")
+    else:
+        def keep(df: DataFrame) -> DataFrame:
+            return df
+    lead = lead_sponsors(keep(sponsors))
+    iv = intervention_summary(keep(interventions))
+    cond = condition_summary(keep(conditions))
     wide = (cand.join(lead, "nct_id", "left")
                 .join(iv, "nct_id", "left")
                 .join(cond, "nct_id", "left"))
