@@ -1,0 +1,121 @@
+"""Properties that must hold on any input (checked on the driver's sf0.001
+tables and on random fixtures)."""
+
+import datetime as dt
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from trialscope import config as C
+from trialscope import operators as O
+from trialscope import schemas
+from trialscope.testing.fixture_views import trial_tables
+
+SF = "/root/testdata/sf0.001"
+ASOF = dt.date(1998, 6, 15)
+
+
+@pytest.fixture(scope="module")
+def t(spark):
+    return trial_tables(spark, SF)
+
+
+def _same(a, b):
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_explode_equals_union(t):
+    cand = O.upcoming_studies(t["studies"], ASOF, 3)
+    assert _same(O.event_rows(cand, ASOF, 3, strategy="explode"),
+                 O.event_rows(cand, ASOF, 3, strategy="union"))
+
+
+def test_at_most_three_events_per_study(t):
+    ev = O.upcoming_events(t["studies"], t["sponsors"], t["interventions"], t["conditions"], ASOF, 3)
+    assert ev.groupBy("nct_id").count().where("count > 3").isEmpty()
+    assert ev.groupBy("nct_id", "event_type").count().where("count > 1").isEmpty()
+
+
+def test_bars_sum_to_filtered_count(t):
+    for col in C.DATE_COLUMNS:
+        bars = O.upcoming_phase_status(t["studies"], col, ASOF, 12)
+        total = bars.agg(F.sum("count")).first()[0]
+        direct = (t["studies"].where("study_type = 'INTERVENTIONAL'")
+                  .where(F.col("overall_status").isin(*C.ACTIVE_STATUSES))
+                  .where((F.col(col) >= F.lit(ASOF)) & (F.col(col) < F.add_months(F.lit(ASOF), 12)))
+                  .count())
+        assert total == direct
+
+
+def test_timeline_sums_equal_event_rows(t):
+    tl = O.upcoming_timeline(t["studies"], ASOF, 12)
+    cand = O.upcoming_studies(t["studies"], ASOF, 12)
+    ev = O.event_rows(cand, ASOF, 12)
+    sums = tl.agg(*[F.sum(c).alias(c) for c in C.TIMELINE_COLUMNS.values()]).first()
+    per_kind = {r.event_type: r["count"] for r in ev.groupBy("event_type").count().collect()}
+    for kind, name in C.TIMELINE_COLUMNS.items():
+        assert sums[name] == per_kind.get(kind, 0)
+    assert tl.count() == 13
+
+
+def test_partitioning_does_not_change_results(t, spark):
+    shuffled = {k: v.repartition(7) for k, v in t.items()}
+    a = O.upcoming_events(t["studies"], t["sponsors"], t["interventions"], t["conditions"], ASOF, 3)
+    b = O.upcoming_events(shuffled["studies"], shuffled["sponsors"], shuffled["interventions"],
+                          shuffled["conditions"], ASOF, 3)
+    assert _same(a, b)
+    assert _same(O.top_sponsor_phase(a, 12), O.top_sponsor_phase(b, 12))
+    assert _same(O.top_intervention_types(a, 3), O.top_intervention_types(b, 3))
+
+
+def test_global_rank_is_a_permutation(t):
+    ev = O.upcoming_events(t["studies"], t["sponsors"], t["interventions"], t["conditions"], ASOF, 3)
+    from trialscope.operators.events import event_order_columns
+    ranked = O.global_rank(ev, event_order_columns(), num_partitions=5)
+    rows = ranked.orderBy("rk").collect()
+    assert [r.rk for r in rows] == list(range(1, len(rows) + 1))
+    keys = [(r.event_date, C.EVENT_ORDER.index(r.event_type), r.nct_id) for r in rows]
+    assert keys == sorted(keys)
+
+
+# --- random fixtures ------------------------------------------------------------
+
+_phases = st.sampled_from([None, "PHASE1", "PHASE_2", "PHASE1/PHASE2", "NA", "phase3", "X"])
+_status = st.sampled_from([None, *C.ACTIVE_STATUSES, "COMPLETED"])
+_date = st.one_of(st.none(), st.dates(dt.date(2024, 10, 1), dt.date(2025, 4, 30)))
+_dtype = st.sampled_from([None, "ACTUAL", "ESTIMATED"])
+_study = st.tuples(_phases, _status, _date, _dtype, _date, _dtype, _date, _dtype,
+                   st.sampled_from(["INTERVENTIONAL", "OBSERVATIONAL"]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(_study, min_size=0, max_size=25),
+       asof=st.dates(dt.date(2024, 11, 1), dt.date(2025, 1, 31)),
+       months=st.integers(1, 4))
+def test_random_studies_explode_equals_union_and_counts_agree(spark, rows, asof, months):
+    data = [(f"N{i:03d}", stype, ph, stt, "t", 1, "ACTUAL", asof, d1, t1, d2, t2, d3, t3)
+            for i, (ph, stt, d1, t1, d2, t2, d3, t3, stype) in enumerate(rows)]
+    studies = spark.createDataFrame(data, schemas.STUDIES)
+    cand = O.upcoming_studies(studies, asof, months)
+    ex = O.event_rows(cand, asof, months, strategy="explode")
+    un = O.event_rows(cand, asof, months, strategy="union")
+    assert _same(ex, un)
+    # brute force in Python
+    end = _add_months(asof, months)
+    want = 0
+    for ph, stt, d1, t1, d2, t2, d3, t3, stype in rows:
+        if stype == "INTERVENTIONAL" and stt in C.ACTIVE_STATUSES:
+            want += sum(1 for d in (d1, d2, d3) if d is not None and asof <= d < end)
+    assert ex.count() == want
+    tl = O.upcoming_timeline(studies, asof, months)
+    assert tl.count() == months + 1
+    assert sum(sum(r[1:]) for r in tl.collect()) == want
+
+
+def _add_months(d: dt.date, n: int) -> dt.date:
+    import calendar
+    y, m = divmod(d.month - 1 + n, 12)
+    y, m = d.year + y, m + 1
+    return dt.date(y, m, min(d.day, calendar.monthrange(y, m)[1]))
