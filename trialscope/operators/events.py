@@ -190,6 +190,11 @@ def event_order_columns():
             F.col("nct_id").asc()]
 
 
+def page_order_columns():
+    """The display page's initial order: date, then event kind as text."""
+    return [F.col("event_date").asc(), F.col("event_type").asc()]
+
+
 def sort_events(events: DataFrame) -> DataFrame:
     """Range-partitioned global sort in the table's final order."""
     return events.orderBy(*event_order_columns())

@@ -7,4 +7,5 @@ from .tables import (  # noqa: F401
     read_jdbc_tables,
     read_tables,
     register_views,
+    run_sql,
 )

@@ -87,3 +87,13 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Expose the tables as temp views, for ad-hoc `spark.sql(...)`."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
+
+
+def run_sql(spark: SparkSession, tables: Mapping[str, DataFrame], text: str, **args) -> DataFrame:
+    """Ad-hoc SQL over the tables (registered as temp views first).
+
+    Named parameters (`:name` in the text) are bound by Spark, not pasted into
+    the text.
+    """
+    register_views(tables)
+    return spark.sql(text, args=args or None)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
 from ..operators import charts, counts, events, ranking
+from ..plans import sql_reports
 from ..sinks import writers
 from ..sources import events_file
 from . import oracles
@@ -77,6 +78,9 @@ def queries() -> dict[str, Query]:
         "upcoming_bars_completion": _bars("completion_date"),
         "upcoming_bars_sparse": _bars("start_date", 1),
         "upcoming_bars_all": lambda s, d: counts.upcoming_bars_all(_t(s, d)["studies"], ASOF),
+        "phase_status_counts_sql": lambda s, d: sql_reports.phase_status_counts_sql(s, _t(s, d)),
+        "upcoming_counts_sql": lambda s, d: sql_reports.upcoming_counts_sql(
+            s, _t(s, d), "start_date", ASOF),
         "events_union": _event_rows("union"),
         "events_explode": _event_rows("explode"),
         "lead_sponsor": lambda s, d: events.lead_sponsor_by_study(
