@@ -68,8 +68,10 @@ def trial_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     odate = F.col("o_orderdate").cast("date")
     studies = (
         orders
-        .join(titles, titles["doc_id"] == k % TITLE_DOCS, "left")
+        # dates first, titles last: a report's date filter is then pushed
+        # below the title join and only surviving rows carry their text
         .join(ship, ship["l_orderkey"] == k, "left")
+        .join(titles, titles["doc_id"] == k % TITLE_DOCS, "left")
         .select(
             _nct("o_orderkey").alias("nct_id"),
             F.when(k % 10 == 9, "OBSERVATIONAL").otherwise("INTERVENTIONAL").alias("study_type"),
