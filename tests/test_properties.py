@@ -119,3 +119,36 @@ def _add_months(d: dt.date, n: int) -> dt.date:
     y, m = divmod(d.month - 1 + n, 12)
     y, m = d.year + y, m + 1
     return dt.date(y, m, min(d.day, calendar.monthrange(y, m)[1]))
+
+
+def test_hot_study_summaries_match_brute_force(spark):
+    """One study holds a third of all intervention rows; the summaries must
+    equal a plain Python computation."""
+    import random
+    rnd = random.Random(7)
+    rows = [("HOT", rnd.choice(["DRUG", "DEVICE", None, "BIOLOGICAL"]), f"name {rnd.randint(0, 400)}")
+            for _ in range(3000)]
+    rows += [(f"N{i % 600:04d}", rnd.choice(["DRUG", None]), f"n{rnd.randint(0, 5)}" * 13)
+             for i in range(6000)]
+    df = spark.createDataFrame(rows, schemas.INTERVENTIONS).repartition(13)
+    got = {r.nct_id: (r.intervention_types, r.interventions)
+           for r in O.intervention_summary(df).collect()}
+    want = {}
+    for nct in {r[0] for r in rows}:
+        types = sorted({r[1] for r in rows if r[0] == nct and r[1] is not None})
+        names = sorted({r[2][:60] for r in rows if r[0] == nct and r[2] is not None})
+        want[nct] = (", ".join(types) or None, " · ".join(names) or None)
+    assert got == want
+
+
+def test_count_labels_and_page_order(spark):
+    from trialscope.operators.counts import with_total_labels
+    from trialscope.operators.events import page_order_columns
+    bars = spark.createDataFrame([("Phase 1", "RECRUITING", 1, 1234567)],
+                                 "phase_std string, status string, count int, phase_total int")
+    assert with_total_labels(bars).first().total_label == "1,234,567"
+    ev = spark.createDataFrame([(dt.date(2025, 1, 1), "START", "B"), (dt.date(2025, 1, 1), "COMPLETION", "A")],
+                               "event_date date, event_type string, nct_id string")
+    # the page sorts kinds as text, the file by kind order
+    assert [r.event_type for r in ev.orderBy(*page_order_columns()).collect()] == ["COMPLETION", "START"]
+    assert [r.event_type for r in O.sort_events(ev).collect()] == ["START", "COMPLETION"]
