@@ -53,7 +53,20 @@ def _nct(key: str) -> Column:
 
 
 def trial_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """studies, sponsors, interventions, conditions as lazy DataFrames."""
+    """studies, sponsors, interventions, conditions as lazy DataFrames.
+
+    The definitions (not data) are built once per session and folder: making
+    them lists the files, reads the parquet footers and analyses the mapping,
+    which costs more driver time than running a small report. Every use still
+    scans the files in full.
+    """
+    memo = spark.__dict__.setdefault("_trialscope_tables", {})
+    if sf_dir not in memo:
+        memo[sf_dir] = _derive(spark, sf_dir)
+    return dict(memo[sf_dir])
+
+
+def _derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     star = read_star(spark, sf_dir)
     orders, lineitem = star["orders"], star["lineitem"]
 
