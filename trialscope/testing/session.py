@@ -23,6 +23,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TRIALSCOPE_DRIVER_MEMORY", "8g"))
+        # release broadcasts, shuffle files and checkpoints of finished
+        # queries promptly (the cleaner acts after a JVM GC)
+        .config("spark.cleaner.periodicGC.interval", "1min")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.local.dir", os.path.join(scratch, "local"))
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
         .config("spark.driver.extraJavaOptions", f"-Dderby.system.home={scratch}")
