@@ -119,7 +119,7 @@ def upcoming_phase_status(studies: DataFrame, date_col: str = "start_date",
 def upcoming_bars_all(studies: DataFrame, asof: _dt.date | None = None,
                       months: int = C.BARS_HORIZON_MONTHS) -> DataFrame:
     """The three bar tables from one scan: (date_column, phase_std, status,
-    count), dense 3 x 9 x 4, grouped on the unpivoted event kind."""
+    count, phase_total), dense 3 x 9 x 4, grouped on the unpivoted event kind."""
     base = (active(interventional(studies)).where(any_date_in_window(asof, months))
             .select(X.phase_std().alias("phase_std"), X.status_std().alias("status"),
                     *[c for pair in C.EVENT_SOURCES.values() for c in pair]))
@@ -133,9 +133,11 @@ def upcoming_bars_all(studies: DataFrame, asof: _dt.date | None = None,
             .select(F.explode(F.array(*[F.lit(d) for d in C.DATE_COLUMNS])).alias("date_column"),
                     "phase_std", "status"))
     # counts: at most 3 x 9 x 4 rows.
-    return (grid.join(F.broadcast(counts), ["date_column", "phase_std", "status"], "left")
-            .select("date_column", "phase_std", "status",
-                    F.coalesce("n", F.lit(0)).cast("int").alias("count")))
+    dense = (grid.join(F.broadcast(counts), ["date_column", "phase_std", "status"], "left")
+             .select("date_column", "phase_std", "status",
+                     F.coalesce("n", F.lit(0)).cast("int").alias("count")))
+    per_phase = Window.partitionBy("date_column", "phase_std")
+    return dense.withColumn("phase_total", F.sum("count").over(per_phase).cast("int"))
 
 
 def with_total_labels(bars: DataFrame) -> DataFrame:

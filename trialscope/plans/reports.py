@@ -13,7 +13,8 @@ import datetime as _dt
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import charts, counts, events
@@ -106,12 +107,20 @@ class TrialReports:
             self.phase_status_capped(), f"{out}/phase_status_capped", single_file=True)
         written["timeline"] = writers.write_csv(
             self.timeline(), f"{out}/timeline", single_file=True)
+        # The three bar tables from one scan, one folder per date column
+        # (date_column=<name>); a column without any row in the window is
+        # skipped, not zero-filled.
+        bars = counts.upcoming_bars_all(self.studies, self.asof, self.bars_months)
+        column_total = F.sum("count").over(Window.partitionBy("date_column"))
+        bars_path = f"{out}/bars"
+        (bars.withColumn("_total", column_total).where("_total > 0").drop("_total")
+         .repartition(1, "date_column")
+         .write.mode("overwrite").partitionBy("date_column")
+         .options(**writers.CSV_WRITE_OPTIONS).csv(bars_path))
+        present = set(_partition_values(spark, bars_path, "date_column"))
         for date_col in C.DATE_COLUMNS:
-            # a chart without any row in the window is skipped, not zero-filled
-            sparse = counts.upcoming_counts(self.studies, date_col, self.asof, self.bars_months)
-            written[f"bars_{date_col}"] = writers.write_unless_empty(
-                self.bars(date_col), writers.write_csv, f"{out}/bars_{date_col}",
-                single_file=True, check=sparse)
+            written[f"bars_{date_col}"] = (f"{bars_path}/date_column={date_col}"
+                                           if date_col in present else None)
 
         # The event table: parquet once, then CSV from it in final order.
         ev_path = writers.write_parquet(self.events(), f"{out}/events_parquet")
@@ -131,6 +140,18 @@ class TrialReports:
         written["top_intervention_types"] = writers.write_csv(
             charted.top_intervention_types(top_types, sponsors),
             f"{out}/top_intervention_types", single_file=True)
-        written["sponsor_list"] = writers.write_csv(
-            charted.sponsor_list(), f"{out}/sponsor_list", single_file=True)
+        # one row per sponsor: grows with the data, so written in parallel
+        written["sponsor_list"] = writers.write_csv(charted.sponsor_list(), f"{out}/sponsor_list")
         return written
+
+
+def _partition_values(spark, path: str, column: str) -> list[str]:
+    """Values of a partition column present under a written folder (a small
+    report: at most 3 x 36 rows)."""
+    try:
+        df = spark.read.option("basePath", path).csv(path)
+    except Exception:  # nothing written
+        return []
+    if column not in df.columns:
+        return []
+    return [r[0] for r in df.select(column).distinct().collect()]
