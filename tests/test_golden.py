@@ -193,3 +193,11 @@ def test_report_job_writes_everything(t, scratch):
     assert out["bars_start_date"] is not None
     assert out["bars_primary_completion_date"] is None
     assert out["bars_completion_date"] is None
+
+
+def test_asof_none_is_fixed_once(spark, t):
+    from trialscope.functions.columns import resolve_asof
+    today = resolve_asof(spark, None)
+    assert isinstance(today, dt.date)
+    assert TrialReports.from_tables(t).asof == today
+    assert resolve_asof(spark, "2024-11-30") == G.ASOF

@@ -88,6 +88,16 @@ def format_count(c: str | Column) -> Column:
 
 # --- dates -------------------------------------------------------------------
 
+def resolve_asof(spark, asof: _dt.date | None) -> _dt.date:
+    """A fixed as-of date: `asof` itself, or today's date in the session's
+    time zone (one single-row job). Jobs made of several Spark queries use
+    this so that all of them see the same day, even across midnight."""
+    asof = C.check_asof(asof)
+    if asof is not None:
+        return asof
+    return spark.range(1).select(F.current_date()).first()[0]
+
+
 def asof_col(asof: _dt.date | None) -> Column:
     """The as-of date as a column: a literal, or current_date() when None."""
     asof = C.check_asof(asof)

@@ -162,6 +162,8 @@ def upcoming_events(studies: DataFrame, sponsors: DataFrame, interventions: Data
                     broadcast_ids_max: int = BROADCAST_IDS_MAX) -> DataFrame:
     """The upcoming-milestone table (unsorted; see `sort_events`)."""
     months = C.check_months(months)
+    # several queries below: they must all see the same as-of day
+    asof = X.resolve_asof(studies.sparkSession, asof)
     # The candidate studies are read by the size check, the id filter and the
     # join: materialise them once in the reliable checkpoint folder.
     checkpoint_dir(studies.sparkSession)

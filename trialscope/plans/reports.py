@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.columns import resolve_asof
 from ..operators import charts, counts, events
 from ..operators.ranking import global_rank
 from ..sinks import writers
@@ -35,6 +36,10 @@ class TrialReports:
     table_months: int = C.TABLE_HORIZON_MONTHS
     _events: DataFrame | None = field(default=None, repr=False)
 
+    def __post_init__(self):
+        # one as-of day for every report of the run
+        self.asof = resolve_asof(self.studies.sparkSession, self.asof)
+
     @classmethod
     def from_tables(cls, tables: Mapping[str, DataFrame], **kw) -> "TrialReports":
         return cls(tables["studies"], tables["sponsors"], tables["interventions"],
