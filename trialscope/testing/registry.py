@@ -29,10 +29,10 @@ def _t(spark, sf_dir):
     return trial_tables(spark, sf_dir)
 
 
-def _events(spark, sf_dir, strategy="explode") -> DataFrame:
+def _events(spark, sf_dir, strategy="explode", months=C.TABLE_HORIZON_MONTHS) -> DataFrame:
     t = _t(spark, sf_dir)
     return events.upcoming_events(t["studies"], t["sponsors"], t["interventions"],
-                                  t["conditions"], ASOF, C.TABLE_HORIZON_MONTHS, strategy)
+                                  t["conditions"], ASOF, months, strategy)
 
 
 def _event_rows(strategy):
@@ -73,6 +73,8 @@ def queries() -> dict[str, Query]:
         "timeline_wide": lambda s, d: counts.upcoming_timeline(_t(s, d)["studies"], ASOF),
         "timeline_long": lambda s, d: counts.timeline_long(
             counts.upcoming_timeline(_t(s, d)["studies"], ASOF)),
+        "timeline_month_start": lambda s, d: counts.upcoming_timeline(
+            _t(s, d)["studies"], _dt.date.fromisoformat(oracles.MONTH_START)),
         "upcoming_bars_start": _bars("start_date"),
         "upcoming_bars_primary": _bars("primary_completion_date"),
         "upcoming_bars_completion": _bars("completion_date"),
@@ -88,6 +90,7 @@ def queries() -> dict[str, Query]:
         "intervention_summary": lambda s, d: events.intervention_summary(_t(s, d)["interventions"]),
         "condition_summary": lambda s, d: events.condition_summary(_t(s, d)["conditions"]),
         "upcoming_events": _events,
+        "upcoming_events_6m": lambda s, d: _events(s, d, months=6),
         "upcoming_events_ranked": lambda s, d: ranking.global_rank(
             _events(s, d), events.event_order_columns()),
         "upcoming_events_display": lambda s, d: events.display_events(_events(s, d)),
