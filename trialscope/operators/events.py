@@ -145,9 +145,20 @@ def lead_sponsor_by_study(studies: DataFrame, sponsors: DataFrame) -> DataFrame:
 
 # --- the event table -----------------------------------------------------------
 
-# Candidate ids broadcast to filter the N-per-study tables map-side, at most.
-# ~60 bytes per id in a broadcast hash relation: 1M ids is about 60 MB.
-BROADCAST_IDS_MAX = 1_000_000
+# Bytes one candidate id takes in a broadcast hash relation (key + row).
+BYTES_PER_ID = 64
+
+
+def default_broadcast_ids_max(spark) -> int:
+    """How many candidate ids may be broadcast: the session's broadcast
+    threshold (spark.sql.autoBroadcastJoinThreshold) divided by the size of
+    one id; 0 (never broadcast) when broadcasting is switched off."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        limit = int(str(raw).strip().lower().removesuffix("b"))
+    except ValueError:  # e.g. "10m"
+        limit = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw)
+    return max(0, limit // BYTES_PER_ID)
 
 
 def broadcastable_ids(ids: DataFrame, cap: int) -> bool:
@@ -159,8 +170,12 @@ def broadcastable_ids(ids: DataFrame, cap: int) -> bool:
 def upcoming_events(studies: DataFrame, sponsors: DataFrame, interventions: DataFrame,
                     conditions: DataFrame, asof: _dt.date | None = None,
                     months: int = C.TABLE_HORIZON_MONTHS, strategy: str = "explode",
-                    broadcast_ids_max: int = BROADCAST_IDS_MAX) -> DataFrame:
-    """The upcoming-milestone table (unsorted; see `sort_events`)."""
+                    broadcast_ids_max: int | None = None) -> DataFrame:
+    """The upcoming-milestone table (unsorted; see `sort_events`).
+
+    `broadcast_ids_max` caps the candidate ids that may be broadcast; by
+    default it follows the session's broadcast threshold.
+    """
     months = C.check_months(months)
     # several queries below: they must all see the same as-of day
     asof = X.resolve_asof(studies.sparkSession, asof)
@@ -169,6 +184,8 @@ def upcoming_events(studies: DataFrame, sponsors: DataFrame, interventions: Data
     checkpoint_dir(studies.sparkSession)
     cand = upcoming_studies(studies, asof, months).checkpoint(eager=True)
     ids = cand.select("nct_id")
+    if broadcast_ids_max is None:
+        broadcast_ids_max = default_broadcast_ids_max(studies.sparkSession)
     if broadcastable_ids(ids, broadcast_ids_max):
         small = F.broadcast(ids)  # size checked just above
 

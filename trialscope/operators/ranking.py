@@ -30,7 +30,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     on a cluster an unset folder is an error, since a machine-local folder
     would not survive the loss of that machine.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
