@@ -66,3 +66,10 @@ def test_nct_id_predicates_partition_the_key_space():
                      "nct_id >= 'NCT04'", "nct_id IS NULL"]
     with pytest.raises(ValueError):
         nct_id_predicates(["b", "a"])
+
+
+def test_horizon_from_env():
+    assert C.horizon_from_env("X", 12, {}) == 12
+    assert C.horizon_from_env("X", 12, {"X": "6"}) == 6
+    with pytest.raises(ValueError):
+        C.horizon_from_env("X", 12, {"X": "six"})

@@ -99,3 +99,15 @@ def test_read_tables_from_files(spark, scratch):
     ev = O.upcoming_events(back["studies"], back["sponsors"], back["interventions"],
                            back["conditions"], G.ASOF, 3)
     assert ev.count() == len(G.EVENTS)
+
+
+def test_command_line_run(spark, scratch):
+    from trialscope.__main__ import main
+    root = os.path.join(scratch, "in")
+    for name, df in G.tables(spark).items():
+        df.write.parquet(os.path.join(root, name))
+    out = main(["--tables", root, "--out", os.path.join(scratch, "out"), "--asof", "2024-11-30",
+                "--table-months", "3", "--bars-months", "1"], spark=spark)
+    ev = read_events_parquet(spark, out["events_parquet"])
+    assert ev.count() == len(G.EVENTS)
+    assert out["bars_primary_completion_date"] is None

@@ -74,6 +74,10 @@ TIMELINE_COLUMNS: dict[str, str] = {
 TIMELINE_HORIZON_MONTHS = 12
 BARS_HORIZON_MONTHS = 12
 TABLE_HORIZON_MONTHS = 3
+# Environment variables that override the three horizons.
+TIMELINE_HORIZON_ENV = "TIMELINE_HORIZON_MONTHS"
+BARS_HORIZON_ENV = "UPCOMING_HORIZON_MONTHS"
+TABLE_HORIZON_ENV = "UPCOMING_TABLE_HORIZON_MONTHS"
 
 TITLE_CHARS = 180
 NAME_CHARS = 60
@@ -109,6 +113,13 @@ DATE_COLUMNS: tuple[str, ...] = tuple(c for c, _ in EVENT_SOURCES.values())
 # ---------------------------------------------------------------------------
 
 
+def horizon_from_env(name: str, default: int, environ=None) -> int:
+    """A horizon from the environment; a value that is not an integer fails."""
+    import os
+    raw = (environ if environ is not None else os.environ).get(name)
+    return check_months(default if raw is None else int(raw))
+
+
 def check_months(months) -> int:
     """Horizon in whole months (>= 1); accepts ints and integer text."""
     n = int(months)
