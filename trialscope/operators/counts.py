@@ -43,7 +43,11 @@ def phase_status_matrix(studies: DataFrame, statuses=None) -> DataFrame:
     """
     counts = phase_status_counts(studies)
     if statuses is None:
-        present = [r[0] for r in counts.select("status").distinct().collect()]
+        # Bounded like Spark's own pivot: at most spark.sql.pivotMaxValues.
+        cap = int(studies.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+        present = [r[0] for r in counts.select("status").distinct().limit(cap + 1).collect()]
+        if len(present) > cap:
+            raise ValueError(f"more than {cap} distinct statuses; pass `statuses` explicitly")
         statuses = matrix_columns(present)
     statuses = list(statuses)
     wide = counts.groupBy("phase_std").pivot("status", statuses).agg(F.sum("n"))

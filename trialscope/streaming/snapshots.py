@@ -49,7 +49,9 @@ def report_each_snapshot(spark: SparkSession, landing_dir: str, out_dir: str,
     snapshot. With `available_now=True` the query processes what has landed
     and stops (a scheduled run); otherwise it keeps watching.
     """
-    manifests = spark.readStream.schema(MANIFEST).option("multiLine", "true").json(landing_dir)
+    # one snapshot per micro-batch: a restart resumes at the next manifest
+    manifests = (spark.readStream.schema(MANIFEST).option("multiLine", "true")
+                 .option("maxFilesPerTrigger", 1).json(landing_dir))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         report_batch(batch.sparkSession, batch, out_dir, **report_args)
