@@ -111,3 +111,11 @@ def test_command_line_run(spark, scratch):
     ev = read_events_parquet(spark, out["events_parquet"])
     assert ev.count() == len(G.EVENTS)
     assert out["bars_primary_completion_date"] is None
+
+
+def test_spread_only_under_split_sources(spark):
+    from trialscope.sources import spread
+    one = spark.range(1000).coalesce(1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(1000).repartition(6)
+    assert spread(many, 4) is many

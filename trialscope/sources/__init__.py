@@ -8,4 +8,5 @@ from .tables import (  # noqa: F401
     read_tables,
     register_views,
     run_sql,
+    spread,
 )

@@ -16,6 +16,18 @@ from .. import schemas
 TABLE_NAMES = tuple(schemas.INPUTS)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition a source that yields fewer partitions than
+    the session's default parallelism (a file with one row group, a JDBC read
+    without predicates), so the per-row work before the first shuffle runs on
+    every core. A large source already has enough splits and is returned
+    unchanged (no extra shuffle)."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if want <= 1 or df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def read_tables(spark: SparkSession, paths: str | Mapping[str, str],
                 fmt: str = "parquet", options: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
     """Read studies / sponsors / interventions / conditions.
@@ -78,7 +90,9 @@ def read_jdbc_tables(spark: SparkSession, url: str, properties: Mapping[str, str
         if preds:
             df = spark.read.jdbc(url, table, predicates=preds, properties=props)
         else:
-            df = spark.read.jdbc(url, table, properties=props)
+            # one connection, one partition: spread the rows over the cores
+            # before the reports' per-row work
+            df = spread(spark.read.jdbc(url, table, properties=props))
         out[name] = schemas.conform(df, schemas.INPUTS[name])
     return out
 
