@@ -201,3 +201,13 @@ def test_asof_none_is_fixed_once(spark, t):
     assert isinstance(today, dt.date)
     assert TrialReports.from_tables(t).asof == today
     assert resolve_asof(spark, "2024-11-30") == G.ASOF
+
+
+def test_categories_outside_the_preferred_order_sort_last_by_first_appearance(spark):
+    D = dt.date
+    rows = [(D(2025, 1, 1), "START", "N1", "Zeta"), (D(2025, 1, 2), "START", "N2", "Phase 1"),
+            (D(2025, 1, 3), "START", "N3", None), (D(2025, 1, 4), "START", "N4", "Alpha"),
+            (D(2025, 1, 5), "START", "N5", "Zeta"), (D(2025, 1, 6), "START", "N6", "Early Phase 1")]
+    ev = spark.createDataFrame(rows, "event_date date, event_type string, nct_id string, phase_std string")
+    got = [(r.phase_std, r.n) for r in O.events_by_phase(ev).orderBy("rk").collect()]
+    assert got == [("Early Phase 1", 1), ("Phase 1", 1), ("Zeta", 2), ("", 1), ("Alpha", 1)]
