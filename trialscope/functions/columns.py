@@ -7,7 +7,6 @@ code generation; no Python runs per row.
 from __future__ import annotations
 
 import datetime as _dt
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -118,12 +117,3 @@ def in_window(d: str | Column, asof: _dt.date | None, months: int) -> Column:
 def month_of(d: str | Column) -> Column:
     """First day of the month, as a date."""
     return F.trunc(col_of(d), "MM")
-
-
-_IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
-
-
-def check_identifier(name: str) -> str:
-    if not _IDENT.match(name):
-        raise ValueError(f"not a plain column name: {name!r}")
-    return name

@@ -32,9 +32,6 @@ from ..functions import columns as X
 from ..schemas import EVENT_COLUMNS
 from .ranking import checkpoint_dir
 
-# Columns of the study that every event row carries.
-CARRY_COLUMNS = ("nct_id", "title", "status", "phase_std", "enrollment", "enrollment_type",
-                 "last_update_posted_date")
 _DATE_AND_TYPE = tuple(c for pair in C.EVENT_SOURCES.values() for c in pair)
 
 # Only active statuses pass, and UNKNOWN (the null default) is not one of
