@@ -177,9 +177,12 @@ def upcoming_events(studies: DataFrame, sponsors: DataFrame, interventions: Data
     # several queries below: they must all see the same as-of day
     asof = X.resolve_asof(studies.sparkSession, asof)
     # The candidate studies are read by the size check, the id filter and the
-    # join: materialise them once in the reliable checkpoint folder.
+    # join: materialise them once in the reliable checkpoint folder. The
+    # window keeps a small share of a scan with many splits; hashing them on
+    # the join key lets AQE size the partitions, so the checkpoint is a few
+    # right-sized files rather than one nearly empty file per scan split.
     checkpoint_dir(studies.sparkSession)
-    cand = upcoming_studies(studies, asof, months).checkpoint(eager=True)
+    cand = upcoming_studies(studies, asof, months).repartition("nct_id").checkpoint(eager=True)
     ids = cand.select("nct_id")
     if broadcast_ids_max is None:
         broadcast_ids_max = default_broadcast_ids_max(studies.sparkSession)
