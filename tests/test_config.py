@@ -73,3 +73,10 @@ def test_horizon_from_env():
     assert C.horizon_from_env("X", 12, {"X": "6"}) == 6
     with pytest.raises(ValueError):
         C.horizon_from_env("X", 12, {"X": "six"})
+
+
+@pytest.mark.parametrize("text,want", [("10485760", 10485760), ("10485760b", 10485760),
+                                       ("10m", 10 << 20), ("10MB", 10 << 20), ("1g", 1 << 30),
+                                       ("512k", 512 << 10), ("-1", -1)])
+def test_byte_size(text, want):
+    assert C.byte_size(text) == want

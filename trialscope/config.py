@@ -120,6 +120,17 @@ def horizon_from_env(name: str, default: int, environ=None) -> int:
     return check_months(default if raw is None else int(raw))
 
 
+def byte_size(text) -> int:
+    """A Spark size setting in bytes: "10485760", "10485760b", "10m", "1g"
+    (k, m, g, t, p are powers of 1024, as Spark reads them); -1 stays -1."""
+    raw = str(text).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+    raw = raw.removesuffix("b") if not raw.endswith(("kb", "mb", "gb", "tb", "pb")) else raw[:-1]
+    if raw and raw[-1] in units:
+        return int(float(raw[:-1]) * units[raw[-1]])
+    return int(raw)
+
+
 def check_months(months) -> int:
     """Horizon in whole months (>= 1); accepts ints and integer text."""
     n = int(months)

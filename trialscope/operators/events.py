@@ -150,11 +150,7 @@ def default_broadcast_ids_max(spark) -> int:
     """How many candidate ids may be broadcast: the session's broadcast
     threshold (spark.sql.autoBroadcastJoinThreshold) divided by the size of
     one id; 0 (never broadcast) when broadcasting is switched off."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit = int(str(raw).strip().lower().removesuffix("b"))
-    except ValueError:  # e.g. "10m"
-        limit = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw)
+    limit = C.byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
     return max(0, limit // BYTES_PER_ID)
 
 
