@@ -211,3 +211,20 @@ def test_categories_outside_the_preferred_order_sort_last_by_first_appearance(sp
     ev = spark.createDataFrame(rows, "event_date date, event_type string, nct_id string, phase_std string")
     got = [(r.phase_std, r.n) for r in O.events_by_phase(ev).orderBy("rk").collect()]
     assert got == [("Early Phase 1", 1), ("Phase 1", 1), ("Zeta", 2), ("", 1), ("Alpha", 1)]
+
+
+def test_empty_window_and_empty_tables(spark, t):
+    far = dt.date(2100, 1, 1)
+    ev = O.upcoming_events(t["studies"], t["sponsors"], t["interventions"], t["conditions"], far, 3)
+    assert ev.count() == 0
+    for df in (O.top_sponsor_phase(ev, 12), O.top_sponsor_phase(ev, 12, "Acme"),
+               O.events_by_phase(ev), O.top_intervention_types(ev), O.sponsor_list(ev),
+               O.global_rank(ev, O.events.event_order_columns())):
+        assert df.count() == 0
+    tl = O.upcoming_timeline(t["studies"], far, 3).collect()
+    assert len(tl) == 4 and all(sum(r[1:]) == 0 for r in tl)
+    bars = O.upcoming_phase_status(t["studies"], "start_date", far, 3).collect()
+    assert len(bars) == 36 and all(r["count"] == 0 for r in bars)
+    empty = spark.createDataFrame([], schemas.STUDIES)
+    assert O.phase_status_matrix(empty).count() == 0
+    assert O.phase_status_capped(empty).count() == 0
