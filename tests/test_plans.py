@@ -76,3 +76,15 @@ def test_top_n_uses_take_ordered(files):
     t = files
     ev = O.upcoming_events(t["studies"], t["sponsors"], t["interventions"], t["conditions"], G.ASOF, 3)
     assert "TakeOrderedAndProject" in plan(O.top_intervention_types(ev, 5))
+
+
+def test_snapshot_partition_pruning(spark, tmp_path):
+    root = str(tmp_path)
+    for snap in ("2024-11-29", "2024-11-30"):
+        for name, df in G.tables(spark).items():
+            df.write.parquet(os.path.join(root, name, f"snapshot={snap}"))
+    t = read_tables(spark, root, snapshot="2024-11-30")
+    p = plan(O.phase_status_counts(t["studies"]))
+    assert "PartitionFilters: [isnotnull(snapshot" in p and "(snapshot#" in p and "2024-11-30" in p
+    ev = O.upcoming_events(t["studies"], t["sponsors"], t["interventions"], t["conditions"], G.ASOF, 3)
+    assert ev.count() == len(G.EVENTS)  # one snapshot, not two

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
 
@@ -29,12 +30,17 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def read_tables(spark: SparkSession, paths: str | Mapping[str, str],
-                fmt: str = "parquet", options: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+                fmt: str = "parquet", options: Mapping[str, str] | None = None,
+                snapshot: str | None = None, snapshot_column: str = "snapshot") -> dict[str, DataFrame]:
     """Read studies / sponsors / interventions / conditions.
 
     `paths` is a folder holding `<table>` (or `<table>.<fmt>`) entries, or a
     mapping table -> path. Columns beyond the declared ones are ignored;
     declared columns are cast to their declared types.
+
+    With `snapshot`, each table is a folder partitioned by `snapshot_column`
+    (e.g. `studies/snapshot=2024-11-30/`) and only that partition is read:
+    the equality filter prunes the other snapshots at file listing.
     """
     out = {}
     for name in TABLE_NAMES:
@@ -45,7 +51,10 @@ def read_tables(spark: SparkSession, paths: str | Mapping[str, str],
         reader = spark.read.format(fmt).options(**(options or {}))
         if fmt != "parquet":
             reader = reader.schema(schemas.INPUTS[name])
-        out[name] = schemas.conform(reader.load(path), schemas.INPUTS[name])
+        df = reader.load(path)
+        if snapshot is not None:
+            df = df.where(F.col(snapshot_column) == F.lit(snapshot))
+        out[name] = schemas.conform(df, schemas.INPUTS[name])
     return out
 
 
