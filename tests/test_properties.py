@@ -90,7 +90,7 @@ _study = st.tuples(_phases, _status, _date, _dtype, _date, _dtype, _date, _dtype
                    st.sampled_from(["INTERVENTIONAL", "OBSERVATIONAL"]))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(rows=st.lists(_study, min_size=0, max_size=25),
        asof=st.dates(dt.date(2024, 11, 1), dt.date(2025, 1, 31)),
        months=st.integers(1, 4))
