@@ -228,3 +228,12 @@ def test_empty_window_and_empty_tables(spark, t):
     empty = spark.createDataFrame([], schemas.STUDIES)
     assert O.phase_status_matrix(empty).count() == 0
     assert O.phase_status_capped(empty).count() == 0
+
+
+def test_matrix_handles_odd_status_names(spark):
+    df = spark.createDataFrame(
+        [("a", "INTERVENTIONAL", "PHASE1", "odd.`name`"), ("b", "INTERVENTIONAL", "PHASE2", "RECRUITING")],
+        "nct_id string, study_type string, phase string, overall_status string")
+    m = O.phase_status_matrix(df)
+    assert m.columns == ["phase_std", "RECRUITING", "odd.`name`"]
+    assert [tuple(r) for r in m.collect()] == [("Phase 1", 0, 1), ("Phase 2", 1, 0)]

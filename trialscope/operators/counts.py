@@ -52,8 +52,8 @@ def phase_status_matrix(studies: DataFrame, statuses=None) -> DataFrame:
     statuses = list(statuses)
     wide = counts.groupBy("phase_std").pivot("status", statuses).agg(F.sum("n"))
     return (wide.select("phase_std",
-                        *[F.coalesce(F.col(f"`{s}`"), F.lit(0)).cast("int").alias(s)
-                          for s in statuses])
+                        *[F.coalesce(F.col("`" + s.replace("`", "``") + "`"), F.lit(0))
+                          .cast("int").alias(s) for s in statuses])
             .orderBy("phase_std"))
 
 
