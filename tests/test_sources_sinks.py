@@ -13,7 +13,9 @@ from trialscope.sources import read_events_csv, read_events_json, read_events_pa
 
 from . import golden as G
 
-TRICKY = ['comma, inside', 'quote " inside', 'line\nbreak', '  leading and trailing  ', 'ünïcødé ·']
+TRICKY = ['comma, inside', 'quote " inside', 'line\nbreak', '  leading and trailing  ', 'ünïcødé ·',
+          'crlf\r\ninside', 'cr\ronly', 'tab\tinside', 'emoji \U0001F600 and \U0001D518',
+          'trailing newline\n', '\nleading newline']
 
 
 def _events(spark, titles):
