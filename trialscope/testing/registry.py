@@ -69,6 +69,8 @@ def queries() -> dict[str, Query]:
     return {
         "phase_status_counts": lambda s, d: counts.phase_status_counts(_t(s, d)["studies"]),
         "phase_status_matrix": lambda s, d: counts.phase_status_matrix(_t(s, d)["studies"]),
+        "phase_status_matrix_explicit": lambda s, d: counts.phase_status_matrix(
+            _t(s, d)["studies"], C.MATRIX_STATUS_ORDER),
         "phase_status_capped": lambda s, d: counts.phase_status_capped(_t(s, d)["studies"]),
         "timeline_wide": lambda s, d: counts.upcoming_timeline(_t(s, d)["studies"], ASOF),
         "timeline_long": lambda s, d: counts.timeline_long(
@@ -102,6 +104,8 @@ def queries() -> dict[str, Query]:
         "events_by_status": lambda s, d: charts.events_by_status(_events(s, d)),
         "top_intervention_types": lambda s, d: charts.top_intervention_types(
             _events(s, d), oracles.TOP_TYPES_N),
+        "top_intervention_types_filtered": lambda s, d: charts.top_intervention_types(
+            _events(s, d), oracles.TOP_TYPES_N, oracles.FILTER_REQUEST),
         "sponsor_list": lambda s, d: charts.sponsor_list(_events(s, d)),
         "events_csv_roundtrip": _csv_roundtrip,
         "events_json_export": _json_export,
