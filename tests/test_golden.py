@@ -237,3 +237,16 @@ def test_matrix_handles_odd_status_names(spark):
     m = O.phase_status_matrix(df)
     assert m.columns == ["phase_std", "RECRUITING", "odd.`name`"]
     assert [tuple(r) for r in m.collect()] == [("Phase 1", 0, 1), ("Phase 2", 1, 0)]
+
+
+def test_every_phase_spelling(spark):
+    cases = [(raw, label) for label, spellings in C.PHASE_SPELLINGS.items() for raw in spellings]
+    cases += [(None, "Unknown"), ("phase1", "Unknown"), ("PHASE9", "Unknown"), ("", "Unknown"),
+              (" PHASE1", "Unknown")]
+    assert len(cases) == 25
+    df = spark.createDataFrame([(f"N{i}", "INTERVENTIONAL", raw, "RECRUITING")
+                                for i, (raw, _) in enumerate(cases)],
+                               "nct_id string, study_type string, phase string, overall_status string")
+    from trialscope.functions import phase_std
+    got = {r.nct_id: r.p for r in df.select("nct_id", phase_std("phase").alias("p")).collect()}
+    assert got == {f"N{i}": label for i, (_, label) in enumerate(cases)}
