@@ -152,3 +152,15 @@ def test_count_labels_and_page_order(spark):
     # the page sorts kinds as text, the file by kind order
     assert [r.event_type for r in ev.orderBy(*page_order_columns()).collect()] == ["COMPLETION", "START"]
     assert [r.event_type for r in O.sort_events(ev).collect()] == ["START", "COMPLETION"]
+
+
+def test_partitioning_does_not_change_count_reports(t):
+    s1 = t["studies"]
+    s2 = t["studies"].repartition(5).orderBy(F.rand(3))  # other order, other partitions
+    for f in (O.phase_status_counts, O.phase_status_matrix, O.phase_status_capped,
+              lambda s: O.upcoming_timeline(s, ASOF, 12),
+              lambda s: O.upcoming_phase_status(s, "completion_date", ASOF, 12),
+              lambda s: O.upcoming_bars_all(s, ASOF, 12)):
+        assert _same(f(s1), f(s2))
+    i2 = t["interventions"].repartition(3).orderBy(F.rand(5))
+    assert _same(O.intervention_summary(t["interventions"]), O.intervention_summary(i2))
