@@ -166,6 +166,9 @@ def upcoming_events(studies: DataFrame, sponsors: DataFrame, interventions: Data
                     broadcast_ids_max: int | None = None) -> DataFrame:
     """The upcoming-milestone table (unsorted; see `sort_events`).
 
+    Building it runs two small jobs: the candidate studies are checkpointed
+    (reliable folder, see `ranking.checkpoint_dir`) and counted up to
+    `broadcast_ids_max + 1`. The returned DataFrame is lazy from there on.
     `broadcast_ids_max` caps the candidate ids that may be broadcast; by
     default it follows the session's broadcast threshold.
     """
