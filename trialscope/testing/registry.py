@@ -29,10 +29,11 @@ def _t(spark, sf_dir):
     return trial_tables(spark, sf_dir)
 
 
-def _events(spark, sf_dir, strategy="explode", months=C.TABLE_HORIZON_MONTHS) -> DataFrame:
+def _events(spark, sf_dir, strategy="explode", months=C.TABLE_HORIZON_MONTHS,
+            broadcast_ids_max=None) -> DataFrame:
     t = _t(spark, sf_dir)
     return events.upcoming_events(t["studies"], t["sponsors"], t["interventions"],
-                                  t["conditions"], ASOF, months, strategy)
+                                  t["conditions"], ASOF, months, strategy, broadcast_ids_max)
 
 
 def _event_rows(strategy):
@@ -93,6 +94,9 @@ def queries() -> dict[str, Query]:
         "condition_summary": lambda s, d: events.condition_summary(_t(s, d)["conditions"]),
         "upcoming_events": _events,
         "upcoming_events_6m": lambda s, d: _events(s, d, months=6),
+        # the path taken when the candidates are too many to broadcast:
+        # whole-table aggregation with map-side combine, then shuffle joins
+        "upcoming_events_shuffle": lambda s, d: _events(s, d, broadcast_ids_max=0),
         "upcoming_events_ranked": lambda s, d: ranking.global_rank(
             _events(s, d), events.event_order_columns()),
         "upcoming_events_display": lambda s, d: events.display_events(_events(s, d)),
