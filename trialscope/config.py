@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import math
+import os
 from collections.abc import Iterable, Sequence
 
 # ---------------------------------------------------------------------------
@@ -115,7 +116,6 @@ DATE_COLUMNS: tuple[str, ...] = tuple(c for c, _ in EVENT_SOURCES.values())
 
 def horizon_from_env(name: str, default: int, environ=None) -> int:
     """A horizon from the environment; a value that is not an integer fails."""
-    import os
     raw = (environ if environ is not None else os.environ).get(name)
     return check_months(default if raw is None else int(raw))
 
