@@ -9,10 +9,11 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from trialscope.testing import registry
 from trialscope.testing.compare import compare, duck
 
 SF_DIR = os.environ.get("TRIALSCOPE_ORACLE_SF", "/root/testdata/sf0.001")
-KEYS = sorted(E.queries())
+KEYS = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -21,12 +22,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(registry.oracle_sql()) == set(registry.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    res = compare(E.queries()[key](spark, SF_DIR), con, E.oracle_sql()[key])
+    res = compare(registry.queries()[key](spark, SF_DIR), con, registry.oracle_sql()[key])
     assert res["ok"], res
     assert res["types_match"], res
 
