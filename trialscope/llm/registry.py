@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, shared, token_counts, token_files
+from . import exact_dedup, oracles, packing, shared, simhash, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 BYTE_BPE = "byte_bpe_50k.json"
@@ -27,6 +27,14 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_docs(spark, sf_dir))
+
+
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(_docs(spark, sf_dir))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op9(spark, _docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
@@ -35,9 +43,11 @@ def queries() -> dict[str, Query]:
     return {
         "op2_token_counts": op2_token_counts,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op6_simhash_near_dedup": op6_simhash_near_dedup,
         "op9_token_files": op9_token_files,
+        "op10_exact_dedup": op10_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_exact_dedup": oracles.EXACT_DUPLICATES}
