@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, oracles, packing, shared, simhash, token_counts, token_files
+from . import (exact_dedup, oracles, packing, quality_gam, quality_rules, shared, simhash, token_counts,
+               token_files, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 BYTE_BPE = "byte_bpe_50k.json"
@@ -18,6 +19,10 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = token_counts.encoded_lengths(_docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
     return token_counts.context_limits(token_counts.length_histogram(lengths))
@@ -27,6 +32,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_docs(spark, sf_dir), _labels(spark, sf_dir))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_docs(spark, sf_dir))
 
@@ -35,6 +44,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_docs(spark, sf_dir))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(_docs(spark, sf_dir), _labels(spark, sf_dir))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gam.quality(_docs(spark, sf_dir), _labels(spark, sf_dir))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op9(spark, _docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
@@ -43,7 +60,10 @@ def queries() -> dict[str, Query]:
     return {
         "op2_token_counts": op2_token_counts,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op5_toxicity": op5_toxicity,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
+        "op7_quality_rules": op7_quality_rules,
+        "op8_quality_classifier": op8_quality_classifier,
         "op9_token_files": op9_token_files,
         "op10_exact_dedup": op10_exact_dedup,
     }

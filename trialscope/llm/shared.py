@@ -5,12 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 # Bytes of text that one Python step holds at a time (one longer text is a
 # step of its own).
@@ -80,3 +82,18 @@ def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES
                 begin, held = i, 0
             held += int(n)
         yield batch.slice(begin)
+
+
+def keep_rows(docs: DataFrame, judge: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows of ``docs`` whose text passes, every column as it was.
+    ``judge`` takes the texts (null as empty) and gives a boolean each."""
+    marked = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+                         F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            keep = pa.array(judge(part.column("text")))
+            yield pa.RecordBatch.from_arrays([part.column("row")], names=["row"]).filter(keep)
+
+    kept = marked.mapInArrow(run, StructType([StructField("row", docs.schema)]))
+    return kept.select("row.*")
