@@ -35,7 +35,7 @@ BITS = 22              # 2**BITS hashed coordinates
 MAX_WEIGHTS = 1 << 18  # weights that are kept and broadcast: 3 MB
 STEMS = (4, 5)
 EPOCHS = 3
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.1
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 3.0, 0.1
 FEATURES = "doc_id long, label int, features array<int>"
 WEIGHTS = "feature int, weight double"
 
