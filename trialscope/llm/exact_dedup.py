@@ -275,6 +275,13 @@ def exact_duplicates(docs: DataFrame, key_bits: int = KEY_BITS, page: int = PAGE
     root = shared.scratch(docs.sparkSession, "exact-index")
     groups = read_index(build_index(docs, root, key_bits, page))
     rows = shared.id_text(docs).mapInArrow(_hasher, "doc_id long, text_sha binary")
-    return rows.join(groups, rows["text_sha"] == groups["sha"]).select(
+    # the plan cannot know how large the index files' entries are: no broadcast
+    return rows.join(groups.hint("merge"), rows["text_sha"] == groups["sha"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: one doc_id of each group."""
+    stay = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("__stay")).distinct()
+    return docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(stay["__stay"]), "left_semi")
