@@ -1,7 +1,10 @@
 """The corpus pipeline: documents to packed training sequences.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
-written as Parquet and read again as the next stage's ``docs``.
+written as Parquet and read again as the next stage's ``docs``. All but the
+last return the columns of ``docs``, whatever they are. A stage filters by
+whole rows; where a decision goes by doc_id, rows that share a doc_id share
+it. The trained stages read ``labels`` beside the documents.
 """
 
 from __future__ import annotations
@@ -9,7 +12,35 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trialscope.llm import packing, shared
+from trialscope.llm import exact_dedup, packing, quality_gam, shared, simhash
+from trialscope.llm import quality_rules as rules
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared.on_workers(spark)
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules and the line labelling keep."""
+    return rules.keep_passing(docs, _labels(spark, sf_dir))
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the additive model scores as good."""
+    return quality_gam.keep_good(docs, _labels(spark, sf_dir))
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    shared.on_workers(spark)
+    return exact_dedup.keep_first(docs)
+
+
+def simhash_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    shared.on_workers(spark)
+    return simhash.keep_one(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,5 +50,22 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("quality_classifier", quality_classifier),
+    ("exact_duplicates", exact_duplicates),
+    ("simhash_near_duplicates", simhash_near_duplicates),
     ("best_fit_packing", best_fit_packing),
 ]
+
+# Trained models and tokenizers have no SQL; tests hold every stage against a
+# brute-force version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each but the last is written to the
+    shared folder, so a lost executor never reruns an earlier stage."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = shared.stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

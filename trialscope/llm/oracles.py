@@ -14,3 +14,44 @@ r AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 """
+
+
+def license_scan(templates, least: float) -> str:
+    """Dice coefficients of word-bigram sets by lists, without size bounds."""
+    rows = ",\n  ".join("({}, '{}', '{}')".format(k, name, text.replace("'", "''"))
+                        for k, (name, text) in enumerate(templates))
+    words = "list_filter(string_split(lower(regexp_replace({}, '[^A-Za-z0-9]+', ' ', 'g')), ' '), lambda w: w <> '')"
+    pairs = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    return f"""
+WITH t AS (
+  SELECT template, license, {pairs} AS b
+  FROM (SELECT template, license, {words.format('body')} AS w
+        FROM (VALUES {rows}) AS v(template, license, body))
+),
+lines AS (
+  SELECT doc_id, 'line' AS unit, i - 1 AS unit_no, string_split(text, chr(10))[i] AS body
+  FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)
+),
+paragraphs AS (
+  SELECT doc_id, 'paragraph' AS unit, i - 1 AS unit_no, p[i] AS body
+  FROM (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i
+        FROM (SELECT doc_id, regexp_split_to_array(text, '\n[ \t\r]*\n') AS p FROM documents))
+  WHERE contains(p[i], chr(10))
+),
+texts AS (
+  SELECT doc_id, 'text' AS unit, 0 AS unit_no, text AS body FROM documents
+  WHERE regexp_matches(text, '\n[ \t\r]*\n')
+),
+u AS (
+  SELECT DISTINCT doc_id, unit, unit_no, {pairs} AS a
+  FROM (SELECT doc_id, unit, unit_no, {words.format('body')} AS w
+        FROM (SELECT * FROM lines UNION ALL SELECT * FROM paragraphs UNION ALL SELECT * FROM texts))
+),
+s AS (
+  SELECT doc_id, unit, unit_no, license, 2.0 * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice
+  FROM u, t WHERE len(a) > 0
+)
+SELECT doc_id, unit, CAST(unit_no AS INTEGER) AS unit_no, license, CAST(dice AS DOUBLE) AS dice
+FROM s WHERE dice >= {least} - 1e-9
+QUALIFY row_number() OVER (PARTITION BY doc_id, unit, unit_no ORDER BY dice DESC, license) = 1
+"""

@@ -7,11 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (exact_dedup, oracles, packing, quality_gam, quality_rules, shared, simhash, token_counts,
-               token_files, toxicity)
+import corpus_pipeline
+
+from . import (exact_dedup, licenses, oracles, packing, quality_gam, quality_rules, sentence_pieces, shared,
+               simhash, token_counts, token_files, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +26,20 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path(PIECES)
+    return sentence_pieces.decode(sentence_pieces.encode(_docs(spark, sf_dir), model), model)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = token_counts.encoded_lengths(_docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
     return token_counts.context_limits(token_counts.length_histogram(lengths))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(_docs(spark, sf_dir))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
@@ -58,7 +70,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "pipeline": corpus_pipeline.run,
+        "op1_sentence_pieces": op1_sentence_pieces,
         "op2_token_counts": op2_token_counts,
+        "op3_license_scan": op3_license_scan,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_toxicity": op5_toxicity,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
@@ -70,4 +85,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": oracles.EXACT_DUPLICATES}
+    out = {
+        "op3_license_scan": oracles.license_scan(licenses.TEMPLATES, licenses.LEAST),
+        "op10_exact_dedup": oracles.EXACT_DUPLICATES,
+    }
+    if corpus_pipeline.ORACLE_SQL:
+        out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out

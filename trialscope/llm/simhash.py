@@ -233,3 +233,12 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, max_bits: int = MAX_B
     named = nodes.join(named, "root").select(F.col("fp").alias("node_fp"), "component_id")
     return marked.join(named, marked["fp"] == named["node_fp"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose doc_id names their component:
+    one document of each group of near duplicates."""
+    found = near_duplicates(docs)
+    stay = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias("__stay")).distinct())
+    return docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(stay["__stay"]), "left_semi")
