@@ -25,4 +25,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, sample: int
     n = rows.count()
     if n > sample:
         rows = rows.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) < int((1 << 30) * sample / n))
-    return shared.id_text(docs).join(rows, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "label")
+    # about ``sample`` rows of 12 bytes at most, whatever the corpus: a broadcast,
+    # so that no text is shuffled to find the labelled ones
+    return shared.id_text(docs).join(F.broadcast(rows), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "label")
