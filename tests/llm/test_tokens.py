@@ -1,0 +1,221 @@
+"""Operators 1, 2, 4 and 9 against the tokenizers' own libraries."""
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from trialscope.llm import packing, sentence_pieces, simple8b, token_counts, token_files
+from trialscope.llm.tokens import encoder
+
+from . import fixtures as fx
+
+ODD = ["a", "the", "é", "ß", " ", "  ", "\n", "\t", " ", "\x1c", "'s", "'", "1", "²", "ǆ", "中", "!", ".", "<|endoftext|>",
+       "\x02", "Word", "😀", ",", "ñ", "▁", "\x85", "aaaa", "<s>", "<0x0A>"]
+
+
+@pytest.fixture(scope="module")
+def bpe():
+    tok = Tokenizer.from_file(fx.BYTE_BPE)
+    tok.encode_special_tokens = True
+    return lambda text: tok.encode(text, add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def odd_texts():
+    rng = random.Random(5)
+    return [t or "" for t in fx.texts()] + ["".join(rng.choices(ODD, k=rng.randint(0, 14))) for _ in range(4000)]
+
+
+def split(offsets, ids):
+    return [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+
+
+def test_whole_text_ids_equal_the_library(bpe, odd_texts):
+    assert split(*encoder(fx.BYTE_BPE).encode(pa.array(odd_texts))) == [bpe(t) for t in odd_texts]
+    assert split(*encoder(fx.BYTE_BPE).encode(pa.array([None, "a"]))) == [[], bpe("a")]
+
+
+def test_pieces_equal_the_library_and_round_trip(odd_texts):
+    own = sentencepiece.SentencePieceProcessor(model_file=fx.PIECES)
+    codec = sentence_pieces.codec(fx.PIECES)
+    offsets, ids = codec.encode(pa.array(odd_texts))
+    assert split(offsets, ids) == own.encode(odd_texts)
+    assert codec.decode(offsets, ids) == [t.replace("▁", " ") for t in odd_texts]
+    word = codec.id_of["▁the"]
+    broken = [[int(codec.byte_id[0xE4]), 300], [0, 1, 2], [1, word], [word, word], [], [2]]
+    flat = np.array([x for b in broken for x in b])
+    assert codec.decode(np.cumsum([0, *map(len, broken)]), flat) == own.decode(broken)
+
+
+def test_unigram_walk_is_the_best_path():
+    rng = random.Random(3)
+    score = {"".join(rng.choices("abc", k=rng.randint(1, 4))): -rng.random() * 5 for _ in range(40)}
+    walk = sentence_pieces._Unigram(score, -20.0)
+
+    def best(word):
+        top = [(0.0, [])]
+        for i in range(1, len(word) + 1):
+            top.append(max(((top[j][0] + score.get(word[j:i], -20.0 if i - j == 1 else -1e9), top[j][1] + [word[j:i]])
+                            for j in range(i)), key=lambda s: s[0]))
+        return top[-1][0]
+
+    words = sorted({"".join(rng.choices("abcd", k=rng.randint(1, 9))) for _ in range(300)})
+    codec = sentence_pieces.codec(fx.PIECES)
+    kept, codec.walk = codec.walk, walk
+    try:
+        for word, pieces in zip(words, codec.encode_sorted(words)):
+            assert "".join(pieces) == word
+            assert sum(score.get(p, -20.0) for p in pieces) == pytest.approx(best(word))
+    finally:
+        codec.walk = kept
+
+
+def test_sentence_pieces_over_a_table(spark):
+    own = sentencepiece.SentencePieceProcessor(model_file=fx.PIECES)
+    got = sentence_pieces.decode(sentence_pieces.encode(fx.docs(spark), fx.PIECES), fx.PIECES).collect()
+    assert Counter((r.doc_id, tuple(r.ids), r.text) for r in got) == Counter(
+        (i, tuple(own.encode(t)), t.replace("▁", " ")) for i, t in fx.pairs(fx.edge_rows()))
+    assert sentence_pieces.encode(fx.docs(spark, []), fx.PIECES).count() == 0
+
+
+def test_token_counts(spark, bpe):
+    n = np.array([len(bpe(t)) for _, t in fx.pairs(fx.edge_rows())])
+    limits = token_counts.context_limits(token_counts.length_histogram(
+        token_counts.encoded_lengths(fx.docs(spark), fx.BYTE_BPE)))
+    rows = limits.collect()
+    assert sorted(r.n_tokens for r in rows) == sorted(set(n.tolist())) and n.max() > 2 * token_counts.SPAN
+    for r in rows:
+        assert r.n_docs == (n == r.n_tokens).sum() and r.docs_longer == (n > r.n_tokens).sum()
+        assert r.truncated_total == np.minimum(n, r.n_tokens).sum() and r.tokens_longer == n[n > r.n_tokens].sum()
+        assert (r.total_docs, r.total_tokens) == (len(n), n.sum())
+        assert r.quantile == pytest.approx((n <= r.n_tokens).mean())
+    for r in token_counts.length_quantiles(limits, [0.0, 0.1, 0.5, 0.99, 1.0]).collect():
+        assert r.n_tokens == np.sort(n)[max(0, int(np.ceil(round(r.p * len(n), 9))) - 1)]
+    empty = token_counts.encoded_lengths(fx.docs(spark, []), fx.BYTE_BPE)
+    assert token_counts.context_limits(token_counts.length_histogram(empty)).count() == 0
+
+
+def pieces_of(n, capacity):
+    first = n % capacity
+    return ([first] if first else []) + [capacity] * (n // capacity)
+
+
+@pytest.mark.parametrize("capacity", [2048, 64])
+def test_packing(spark, bpe, capacity):
+    got = packing.pack_documents(fx.docs(spark).repartition(7), fx.BYTE_BPE, capacity=capacity).collect()
+    want, total = Counter(), 0
+    for i, t in fx.pairs(fx.edge_rows()):
+        ids, at = np.array(bpe(t) + [0], "<u4"), 0
+        total += len(ids)
+        for k, n in enumerate(pieces_of(len(ids), capacity)):
+            want[i, k, at, n, zlib.crc32(ids[at:at + n].tobytes())] += 1
+            at += n
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    sequences = defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, n in sorted(parts):
+            assert offset == at
+            at += n
+        assert at <= capacity
+    least = -(-total // capacity)
+    assert least <= len(sequences) <= least + max(2, least // 20)
+    assert packing.pack_documents(fx.docs(spark, []), fx.BYTE_BPE).count() == 0
+
+
+def test_merge_rounds_go_up_a_tree(spark):
+    rng = np.random.default_rng(0)
+    fill = rng.integers(100, 1500, 4000)
+    first = spark.createDataFrame([(k, int(f)) for k, f in enumerate(fill)], "bin long, fill long").repartition(30)
+    where = packing.merge_rounds(first, 2048, fan_in=4, round_items=900).collect()
+    assert sorted(r.bin for r in where) == list(range(4000))
+    held = defaultdict(list)
+    for r in where:
+        held[r.root].append((r.shift, int(fill[r.bin])))
+    for parts in held.values():
+        at = 0
+        for shift, n in sorted(parts):
+            assert shift == at
+            at += n
+        assert at <= 2048
+    assert len(held) <= 1.02 * -(-fill.sum() // 2048)
+
+
+@settings(max_examples=60, deadline=None, derandomize=True)
+@given(st.lists(st.integers(1, 50), max_size=80))
+def test_best_fit(sizes):
+    sizes = np.array(sizes, np.int64)
+    bins, place, fill = packing.best_fit(sizes, 50)
+    for b in set(bins.tolist()):
+        mine = np.flatnonzero(bins == b)
+        order = mine[np.argsort(place[mine])]
+        assert place[order].tolist() == (np.cumsum(sizes[order]) - sizes[order]).tolist()
+        assert sizes[mine].sum() == fill[mine[0]] <= 50
+    if len(sizes):  # at most one sequence is at most half full
+        assert sum(fill[np.flatnonzero(bins == b)[0]] <= 25 for b in set(bins.tolist())) <= 1
+
+
+@settings(max_examples=80, deadline=None, derandomize=True)
+@given(st.integers(0, 9000), st.integers(1, 33), st.floats(0, 1), st.integers(0, 2 ** 32))
+def test_simple8b_round_trip(n, bits, zeros, seed):
+    rng = np.random.default_rng(seed)
+    ids = rng.integers(0, 2 ** bits, n).astype(np.uint64)
+    ids[rng.random(n) < zeros] = 0
+    ids[rng.random(n) < 0.01] = simple8b.ESCAPE
+    words, words_at, escapes, escapes_at = simple8b.encode(ids)
+    assert (simple8b.decode(words, words_at, escapes, n) == ids).all()
+    for b in range(len(words_at) - 1):  # each block alone
+        want = ids[b * simple8b.BLOCK:(b + 1) * simple8b.BLOCK]
+        got = simple8b.decode(words[words_at[b]:words_at[b + 1]], np.array([0, words_at[b + 1] - words_at[b]]),
+                              escapes[escapes_at[b]:escapes_at[b + 1]], len(want))
+        assert (got == want).all()
+
+
+def test_simple8b_packs():
+    ids = np.full(3 * simple8b.BLOCK, 9000, np.uint64)
+    assert len(simple8b.encode(ids)[0]) == 3 * -(-simple8b.BLOCK // 4)
+    assert len(simple8b.encode(ids * np.uint64(0))[0]) == 3 * -(-simple8b.BLOCK // 240)
+
+
+@pytest.mark.parametrize("file_ids", [token_files.FILE_IDS, 500])
+def test_token_files(spark, bpe, scratch, file_ids):
+    root = f"file://{scratch}/ids-{file_ids}"
+    manifest = token_files.write_token_files(fx.docs(spark), root, fx.BYTE_BPE, file_ids=file_ids)
+    want, at = [], 0
+    for i, t in sorted(fx.pairs(fx.edge_rows()), key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        ids = np.array(bpe(t) + [0], "<u4")
+        want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    got = token_files.token_file_digest(manifest).collect()
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == want
+    assert sum(r.n_ids for r in manifest.collect()) == at and (manifest.count() > 5 or file_ids > 500)
+    read = token_files.read_token_files(manifest).collect()
+    assert Counter((r.doc_id, tuple(r.ids)) for r in read) == Counter(
+        (i, tuple(bpe(t) + [0])) for i, t in fx.pairs(fx.edge_rows()))
+
+
+def test_token_files_of_an_empty_table(spark, scratch):
+    manifest = token_files.write_token_files(fx.docs(spark, []), f"file://{scratch}/none", fx.BYTE_BPE)
+    assert manifest.count() == 0 and token_files.token_file_digest(manifest).count() == 0
+
+
+def test_a_broken_token_file_is_an_error(spark, scratch):
+    manifest = token_files.write_token_files(fx.docs(spark), f"file://{scratch}/cut", fx.BYTE_BPE)
+    path = manifest.first().path
+    local = path.removeprefix("file://")
+    with open(local, "rb") as f:
+        raw = f.read()
+    with open(local, "wb") as f:
+        f.write(raw[:-5])
+    with pytest.raises(Exception):
+        token_files.TokenFileReader(path)

@@ -158,6 +158,7 @@ class PieceCodec:
         self.bytes_n = np.array([len(b) for b in raw], np.int64)
         self.bytes_at = np.cumsum(self.bytes_n) - self.bytes_n
         self.bytes = np.frombuffer(b"".join(raw), np.uint8)
+        self.marked = np.array([p.type == NORMAL and p.piece.startswith(MARK) for p in model.pieces] + [False])
         self.walk = (_Merges(score) if spec.model_type == BPE else
                      _Unigram(score, min(score.values(), default=0.0) - 10.0))
         self.words = _Memo()
@@ -258,8 +259,10 @@ class PieceCodec:
         n = self.bytes_n[ids]
         before = np.concatenate([[0], np.cumsum(n)])
         raw = self.bytes[np.arange(int(before[-1])) + np.repeat(self.bytes_at[ids] - before[:-1], n)].tobytes()
-        at = before[offsets].tolist()
-        return [raw[a + (raw[a:a + 1] == b" "):b].decode("utf-8", "replace") for a, b in zip(at, at[1:])]
+        at = before[offsets]
+        first = np.searchsorted(before, at[:-1], side="right") - 1  # the id that gives a text's first byte
+        drop = self.marked[np.append(ids, -1)[first]] & (at[:-1] < at[1:])
+        return [raw[a:b].decode("utf-8", "replace") for a, b in zip((at[:-1] + drop).tolist(), at[1:].tolist())]
 
 
 @functools.lru_cache(maxsize=1)

@@ -167,7 +167,7 @@ def _writer(root: str, tokenizer: str, end_id: int, file_ids: int):
             rows.append((part, seq, name, sum(len(c) for _, _, c in out.docs), out.n_ids, size))
             out, seq = None, seq + 1
 
-        for piece in shared.text_slices(batches):
+        for piece in shared.text_slices(batches, min(shared.SLICE_BYTES, 4 * file_ids)):
             offsets, ids = with_end(*encoder(tokenizer).encode(piece.column("text")), end_id)
             if out is None:
                 name = f"{root}/part-{part:06d}-{seq:05d}.ids"
