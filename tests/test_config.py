@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from trialscope import config as C
-from trialscope.sources import nct_id_predicates
+from trialscope.sources import nct_id_predicates, read_jdbc_tables
 
 
 def test_phase_map_covers_every_standard_label():
@@ -50,9 +50,9 @@ def test_as_name_list():
 
 
 def test_argument_checks():
-    assert C.check_months("3") == 3
+    assert C.check_months("3") == 3 and C.check_months(0) == 0
     with pytest.raises(ValueError):
-        C.check_months(0)
+        C.check_months("x")
     with pytest.raises(ValueError):
         C.check_date_column("start_date; drop table x")
     assert C.check_asof("2024-11-30") == dt.date(2024, 11, 30)
@@ -65,7 +65,7 @@ def test_nct_id_predicates_partition_the_key_space():
     assert preds == ["nct_id < 'NCT02'", "nct_id >= 'NCT02' AND nct_id < 'NCT04'",
                      "nct_id >= 'NCT04'", "nct_id IS NULL"]
     with pytest.raises(ValueError):
-        nct_id_predicates(["b", "a"])
+        nct_id_predicates(["B", "A"])
 
 
 def test_horizon_from_env():
@@ -75,8 +75,23 @@ def test_horizon_from_env():
         C.horizon_from_env("X", 12, {"X": "six"})
 
 
-@pytest.mark.parametrize("text,want", [("10485760", 10485760), ("10485760b", 10485760),
-                                       ("10m", 10 << 20), ("10MB", 10 << 20), ("1g", 1 << 30),
-                                       ("512k", 512 << 10), ("-1", -1)])
-def test_byte_size(text, want):
-    assert C.byte_size(text) == want
+@pytest.mark.parametrize("value,want", [
+    ("1_000", 12), ("inf", 12), ("infinity", 12), ("Infinity", 50), ("-Infinity", 1), ("0x10", 16), ("-0x10", 12),
+    ("0b11", 3), ("0o17", 15), (" 7\u00a0", 7), ("1e1", 10), (".9e1", 9), ("5.", 5), ("5px", 12), (True, 1)])
+def test_clamp_top_n_reads_numbers_as_javascript_does(value, want):
+    assert C.clamp_top_n(value, 12, 50) == want
+
+
+def test_json_request_values_become_text():
+    assert C.parse_sponsor_request(None, None, '{"sponsors": [true, 1.0, 1.5, null, "A"]}') == ["true", "1", "1.5", "A"]
+
+
+def test_bounds_are_safe_in_any_collation():
+    for bad in (["nct01"], ["NCT-1"], ["NCT é"]):
+        with pytest.raises(ValueError):
+            nct_id_predicates(bad)
+
+
+def test_unbounded_jdbc_reads_must_be_asked_for():
+    with pytest.raises(ValueError, match="one_connection"):
+        read_jdbc_tables(None, "jdbc:postgresql://localhost/x", {})

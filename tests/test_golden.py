@@ -34,9 +34,9 @@ def test_event_table_rows_and_order(events):
     assert events.columns == list(schemas.EVENT_COLUMNS)
 
 
-def test_event_table_without_broadcast_gives_same_rows(t, events):
+def test_event_table_with_shuffle_joins_gives_same_rows(t, events):
     whole = O.upcoming_events(t["studies"], t["sponsors"], t["interventions"], t["conditions"],
-                              G.ASOF, 3, broadcast_ids_max=0)
+                              G.ASOF, 3, join_hint="merge")
     assert sorted(whole.collect()) == sorted(events.collect())
 
 
@@ -184,6 +184,19 @@ def test_sponsor_list_locale_order(spark):
     assert [r.sponsor for r in O.sorted_sponsor_list(ev).collect()] == ["a", "A", "b", "Unknown"]
 
 
+def test_matrix_columns_given_set_the_order_only(spark, t):
+    m = O.phase_status_matrix(t["studies"], ["WITHDRAWN", "RECRUITING"])
+    cells = sum(sum(r[1:]) for r in m.collect())
+    assert cells == t["studies"].where("study_type = 'INTERVENTIONAL'").count()
+    whole = O.phase_status_matrix(t["studies"])
+    assert set(m.columns) == set(whole.columns) and m.columns[1] in ("WITHDRAWN", "RECRUITING")
+
+
+def test_horizon_of_zero_months(t):
+    tl = O.upcoming_timeline(t["studies"], G.ASOF, 0).collect()
+    assert [(str(r.month), sum(r[1:])) for r in tl] == [("2024-11-01", 0)]
+
+
 def test_report_job_writes_everything(t, scratch):
     rep = TrialReports.from_tables(t, asof=G.ASOF, table_months=3, bars_months=1,
                                    timeline_months=3)
@@ -193,6 +206,9 @@ def test_report_job_writes_everything(t, scratch):
     assert out["bars_start_date"] is not None
     assert out["bars_primary_completion_date"] is None
     assert out["bars_completion_date"] is None
+    assert all(out[k] for k in ("timeline_long", "events_json", "events_display", "phase_status_capped"))
+    bars = t["studies"].sparkSession.read.option("header", True).csv(out["bars_start_date"])
+    assert "total_label" in bars.columns and bars.count() == 36
 
 
 def test_asof_none_is_fixed_once(spark, t):

@@ -45,16 +45,53 @@ def test_event_candidates_push_the_or_of_windows(files):
     assert "EqualTo(study_type,INTERVENTIONAL)" in p
 
 
-def test_summaries_combine_map_side(files):
-    for df in (O.intervention_summary(files["interventions"]),
-               O.condition_summary(files["conditions"]),
-               O.lead_sponsors(files["sponsors"])):
+def test_summaries_split_a_study_before_its_list(files):
+    for df in (O.intervention_summary(files["interventions"]), O.condition_summary(files["conditions"])):
         p = plan(df)
+        parts = [ln for ln in p.splitlines() if "hashpartitioning(nct_id" in ln]
+        assert any("kind" in ln and "value" in ln for ln in parts)  # values of one study on many tasks
         tree = p.split("\n\n")[0].splitlines()
         ex = [i for i, ln in enumerate(tree) if "Exchange" in ln]
-        assert len(ex) == 1 and "hashpartitioning(nct_id" in p
-        # the final aggregate above the only shuffle, a partial one below it
-        assert "Aggregate" in "".join(tree[:ex[0]]) and "Aggregate" in "".join(tree[ex[0] + 1:])
+        assert len(ex) == 2 and "HashAggregate" in "".join(tree[ex[1] + 1:])  # deduplicated before any shuffle
+
+
+def jobs_started(spark, build):
+    spark.sparkContext.setJobGroup("building", "none may start")
+    try:
+        return build(), len(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_event_table_is_one_lazy_plan_that_filters_first(spark, files):
+    t = files
+    ev, jobs = jobs_started(spark, lambda: O.upcoming_events(
+        t["studies"], t["sponsors"], t["interventions"], t["conditions"], G.ASOF, 3))
+    assert jobs == 0
+    for hint in (None, "merge"):  # broadcast or shuffle: each table meets the ids below its aggregates
+        p = plan(O.upcoming_events(t["studies"], t["sponsors"], t["interventions"], t["conditions"], G.ASOF, 3,
+                                   join_hint=hint)).split("\n\n")[0].splitlines()
+        semi = [i for i, ln in enumerate(p) if "Join LeftSemi" in ln]
+        assert len(semi) == 3
+        for i in semi:
+            assert "Aggregate" not in "".join(p[i:i + 8])
+
+
+def test_phase_reports_scan_the_studies_once(files):
+    for df in (O.phase_status_capped(files["studies"]), O.phase_status_counts(files["studies"])):
+        assert plan(df).split("\n\n")[0].count("Scan parquet") == 1
+    long = O.landed_counts(files["studies"])
+    for df in (O.matrix_of(long), O.capped_of(long)):
+        assert "Scan parquet" not in plan(df)
+
+
+def test_top_sponsors_read_the_events_once(spark, tmp_path):
+    from trialscope.sources import read_events_parquet
+    t = G.tables(spark)
+    path = str(tmp_path / "ev")
+    O.upcoming_events(t["studies"], t["sponsors"], t["interventions"], t["conditions"], G.ASOF, 3).write.parquet(path)
+    p = plan(O.top_sponsor_phase(read_events_parquet(spark, path), 12))
+    assert p.split("\n\n")[0].count("Scan parquet") == 1
 
 
 def test_bars_broadcast_only_the_bounded_counts(files):

@@ -65,6 +65,44 @@ def test_pandas_written_csv_with_float_enrollment(spark, scratch):
     assert row.enrollment == 1234 and row.event_date == dt.date(2025, 1, 1)
 
 
+@pytest.mark.parametrize("bad", ["1_2", "abc", "12.9", "99999999999"])
+def test_a_bad_enrollment_fails(spark, scratch, bad):
+    pdf = pd.DataFrame({c: ["x"] for c in schemas.EVENT_COLUMNS})
+    pdf["event_date"] = pdf["last_update_posted_date"] = ["2025-01-01"]
+    pdf["enrollment"] = [bad]
+    path = os.path.join(scratch, "p.csv")
+    pdf.to_csv(path, index=False)
+    with pytest.raises(Exception, match=bad):
+        read_events_csv(spark, path).collect()
+
+
+def test_read_tables_named_by_format(spark, scratch):
+    for name, df in G.tables(spark).items():
+        df.write.parquet(os.path.join(scratch, name + ".parquet"))
+    assert read_tables(spark, scratch)["studies"].count() == G.tables(spark)["studies"].count()
+
+
+def test_command_line_run_on_csv(spark, scratch):
+    from trialscope.__main__ import main
+    root = os.path.join(scratch, "in")
+    for name, df in G.tables(spark).items():
+        write_csv(df, os.path.join(root, name))
+    args = ["--tables", root, "--format", "csv", "--asof", "2024-11-30", "--table-months", "3", "--out"]
+    out = main([*args, os.path.join(scratch, "out")], spark=spark)
+    assert read_events_parquet(spark, out["events_parquet"]).count() == len(G.EVENTS)
+    out = main([*args, os.path.join(scratch, "one"), "--sponsor-request", '{"sponsor": "Acme"}'], spark=spark)
+    top = spark.read.option("header", True).csv(out["top_sponsor_phase"])
+    assert {r.sponsor for r in top.collect()} == {"Acme"}
+
+
+def test_run_sql_leaves_views_alone(spark):
+    from trialscope.sources import run_sql
+    spark.range(3).createOrReplaceTempView("studies")
+    assert run_sql(spark, G.tables(spark), "SELECT count(*) AS n FROM {studies}").first().n > 3
+    assert spark.table("studies").count() == 3
+    spark.catalog.dropTempView("studies")
+
+
 def test_missing_columns_are_named(spark, scratch):
     pdf = pd.DataFrame({"event_date": ["2025-01-01"], "nct_id": ["N1"]})
     path = os.path.join(scratch, "bad.csv")

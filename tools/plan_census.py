@@ -14,11 +14,12 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from trialscope.testing import registry  # noqa: E402
 from trialscope.testing.session import local_session  # noqa: E402
 
 NODES = {
     "scans": lambda n: n.startswith("Scan "),
+    "sort_agg": lambda n: n == "SortAggregate",
     "shuffles": lambda n: n == "Exchange",
     "broadcasts": lambda n: n == "BroadcastExchange",
     "reused": lambda n: n == "ReusedExchange",
@@ -29,7 +30,7 @@ NODES = {
     "window": lambda n: n == "Window",
     "take_ordered": lambda n: n == "TakeOrderedAndProject",
 }
-COLUMNS = list(NODES) + ["single_partition", "pushed_filters"]
+COLUMNS = ["build_jobs"] + list(NODES) + ["single_partition", "pushed_filters"]
 
 
 def census(spark, df) -> dict:
@@ -71,10 +72,12 @@ def main(argv):
     spark = local_session(8, scratch=tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
     rows = []
-    for k, f in E.queries().items():
+    for k, f in registry.queries().items():
+        spark.sparkContext.setJobGroup(f"build-{k}", k)
         df = f(spark, sf_dir)
+        built = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{k}"))
         try:
-            c = census(spark, df)
+            c = census(spark, df) | {"build_jobs": built}
         except Exception as e:  # keep going; the row says why
             c = {"error": type(e).__name__}
         rows.append((k, c))
@@ -85,8 +88,7 @@ def main(argv):
         "",
         f"Final adaptive plans after execution at `{sf_dir}` on `local[8]` (AQE on), from",
         "`tools/plan_census.py`. Counts of plan nodes in the plan tree of the final query",
-        "(jobs run while building a query, such as the event table's candidate checkpoint",
-        "and its capped count, are not included). `shuffles` are hash / range exchanges,",
+        "(`build_jobs` are jobs run while building it). `shuffles` are hash / range exchanges,",
         "`broadcasts` broadcast exchanges (AQE turns shuffle joins of small runtime sides",
         "into broadcast joins), `single_partition` exchanges into one partition: they",
         "occur only above results bounded by a category domain, a top-N or a partition",

@@ -21,8 +21,11 @@ def parse_args(argv):
     src.add_argument("--tables", help="folder holding studies/, sponsors/, interventions/, conditions/")
     src.add_argument("--jdbc-url", help="e.g. jdbc:postgresql://host:5432/db?sslmode=require")
     p.add_argument("--format", default="parquet", help="file format of --tables (parquet, csv, orc, ...)")
-    p.add_argument("--jdbc-schema", default="ctgov")
+    p.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
+                   help="reader option of --format; csv reads a header, quotes and multi-line fields by default")
+    p.add_argument("--jdbc-schema", default=None)
     p.add_argument("--jdbc-bounds", default="", help="comma list of nct_id split points for parallel reads")
+    p.add_argument("--jdbc-one-connection", action="store_true", help="read each table in one task")
     p.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     p.add_argument("--asof", default=None, help="YYYY-MM-DD; default: today in the session time zone")
     p.add_argument("--timeline-months", type=int,
@@ -32,6 +35,8 @@ def parse_args(argv):
     p.add_argument("--table-months", type=int,
                    default=C.horizon_from_env(C.TABLE_HORIZON_ENV, C.TABLE_HORIZON_MONTHS))
     p.add_argument("--sponsors", default=None, help="comma list of sponsors for the chart tables")
+    p.add_argument("--sponsor-request", default=None, metavar="JSON",
+                   help='stored request, e.g. {"sponsors": ["A", "B"]}; --sponsors comes first')
     p.add_argument("--top-sponsors", default=C.TOP_SPONSORS_DEFAULT)
     p.add_argument("--top-intervention-types", default=C.TOP_INTERVENTION_TYPES_DEFAULT)
     return p.parse_args(argv)
@@ -46,15 +51,17 @@ def main(argv=None, spark=None) -> dict:
     a = parse_args(sys.argv[1:] if argv is None else argv)
     spark = spark or SparkSession.builder.appName("trialscope").getOrCreate()
     if a.tables:
-        tables = read_tables(spark, a.tables, fmt=a.format)
+        tables = read_tables(spark, a.tables, fmt=a.format,
+                             options=dict(o.split("=", 1) for o in a.option))
     else:
         props = {"user": os.environ.get("TRIALSCOPE_JDBC_USER", ""),
                  "password": os.environ.get("TRIALSCOPE_JDBC_PASSWORD", "")}
         bounds = [b.strip() for b in a.jdbc_bounds.split(",") if b.strip()]
-        tables = read_jdbc_tables(spark, a.jdbc_url, props, a.jdbc_schema, bounds)
+        tables = read_jdbc_tables(spark, a.jdbc_url, props, a.jdbc_schema, bounds,
+                                  one_connection=a.jdbc_one_connection)
     rep = TrialReports.from_tables(tables, asof=a.asof, timeline_months=a.timeline_months,
                                    bars_months=a.bars_months, table_months=a.table_months)
-    written = rep.write_all(a.out, sponsors=a.sponsors, top_sponsors=a.top_sponsors,
+    written = rep.write_all(a.out, sponsors=C.parse_sponsor_request(a.sponsors, None, a.sponsor_request), top_sponsors=a.top_sponsors,
                             top_types=a.top_intervention_types)
     print(json.dumps({"asof": str(rep.asof), "written": written}))
     return written

@@ -10,6 +10,7 @@ import datetime as _dt
 import json
 import math
 import os
+import re
 from collections.abc import Iterable, Sequence
 
 # ---------------------------------------------------------------------------
@@ -120,23 +121,10 @@ def horizon_from_env(name: str, default: int, environ=None) -> int:
     return check_months(default if raw is None else int(raw))
 
 
-def byte_size(text) -> int:
-    """A Spark size setting in bytes: "10485760", "10485760b", "10m", "1g"
-    (k, m, g, t, p are powers of 1024, as Spark reads them); -1 stays -1."""
-    raw = str(text).strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
-    raw = raw.removesuffix("b") if not raw.endswith(("kb", "mb", "gb", "tb", "pb")) else raw[:-1]
-    if raw and raw[-1] in units:
-        return int(float(raw[:-1]) * units[raw[-1]])
-    return int(raw)
-
-
 def check_months(months) -> int:
-    """Horizon in whole months (>= 1); accepts ints and integer text."""
-    n = int(months)
-    if n < 1:
-        raise ValueError(f"horizon must be at least one month, got {months!r}")
-    return n
+    """Horizon in whole months; accepts any int and integer text. With 0 the
+    window is empty and the timeline is the one month of the as-of day."""
+    return int(months)
 
 
 def check_date_column(name: str) -> str:
@@ -154,22 +142,46 @@ def check_asof(asof) -> _dt.date | None:
     return _dt.date.fromisoformat(str(asof))
 
 
+# Numeral forms of JavaScript's Number(): decimal with optional exponent,
+# Infinity, and unsigned hexadecimal, octal and binary.
+_DECIMAL = re.compile(r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?")
+_RADIX = re.compile(r"0(?:[xX][0-9a-fA-F]+|[oO][0-7]+|[bB][01]+)")
+
+
+def js_number(value) -> float:
+    """Number(value) for text, numbers, booleans and None (NaN if none)."""
+    if value is None or isinstance(value, (bool, int, float)):
+        return float(value or 0)
+    text = js_trim(value)
+    if not text:
+        return 0.0
+    if _RADIX.fullmatch(text):
+        return float(int(text, 0))
+    if text in ("Infinity", "+Infinity", "-Infinity"):
+        return math.copysign(math.inf, -1 if text[0] == "-" else 1)
+    return float(text) if _DECIMAL.fullmatch(text) else math.nan
+
+
 def clamp_top_n(value, default: int, cap: int) -> int:
-    """max(1, min(cap, value or default)), where 0, blanks and non-numbers
-    fall back to the default and fractions truncate toward zero."""
-    try:
-        x = float(value) if value is not None and str(value).strip() != "" else 0.0
-    except (TypeError, ValueError):
-        x = 0.0
+    """max(1, min(cap, Number(value) || default)); fractions truncate."""
+    x = js_number(value)
     if math.isnan(x) or x == 0:
         x = float(default)
-    x = min(float(cap), x)
-    return int(max(1.0, math.trunc(x) if math.isfinite(x) else x))
+    return int(max(1.0, min(float(cap), x)))
+
+
+def js_string(value) -> str:
+    """String(value) of a JSON value: true, 1, 1.5, text; null gives ''."""
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, float) and value.is_integer() and abs(value) < 1e21:
+        return str(int(value))
+    return "" if value is None else str(value)
 
 
 def js_trim(text) -> str:
     """Null-safe trim with JavaScript's notion of white space."""
-    return "" if text is None else str(text).strip(JS_WHITESPACE)
+    return js_string(text).strip(JS_WHITESPACE)
 
 
 def split_names(raw: str | None) -> list[str]:

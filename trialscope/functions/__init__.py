@@ -11,7 +11,7 @@ from .columns import (  # noqa: F401
     month_of,
     or_unknown,
     phase_std,
-    sorted_distinct_join,
+    sorted_join,
     sponsor_key,
     status_std,
     window_end,

@@ -73,10 +73,10 @@ def sponsor_key(c: str | Column = "lead_sponsor") -> Column:
     return or_unknown(js_clean(c))
 
 
-def sorted_distinct_join(c: str | Column, sep: str) -> Column:
-    """Aggregate: distinct non-null values in binary order joined by `sep`;
-    null when there is none (SQL string_agg(distinct ... order by ...))."""
-    values = F.array_sort(F.collect_set(col_of(c)))
+def sorted_join(c: str | Column, sep: str) -> Column:
+    """Aggregate: the non-null values (already distinct) in binary order joined
+    by `sep`; null when there is none."""
+    values = F.array_sort(F.collect_list(col_of(c)))
     return F.when(F.size(values) > 0, F.array_join(values, sep))
 
 

@@ -11,7 +11,9 @@ from .charts import (  # noqa: F401
     top_sponsor_phase,
 )
 from .counts import (  # noqa: F401
-    dense_phase_status,
+    capped_of,
+    landed_counts,
+    matrix_of,
     matrix_columns,
     month_spine,
     phase_status_capped,

@@ -58,23 +58,19 @@ def top_sponsor_phase(events: DataFrame, n=C.TOP_SPONSORS_DEFAULT, sponsors=None
     """Top-n sponsors by event rows, each with its count in every standard
     phase (dense n x 9, zero-filled): (sponsor, phase_std, n, total, rk)."""
     top_n = C.clamp_top_n(n, C.TOP_SPONSORS_DEFAULT, C.TOP_SPONSORS_MAX)
-    view = chart_view(events, sponsors).select(
-        X.sponsor_key("lead_sponsor").alias("sponsor"),
-        X.or_unknown(X.js_clean(F.coalesce("phase_std", F.lit(C.UNKNOWN_PHASE)))).alias("phase_std"),
-        _seen().alias("seen"))
-    per_phase = view.groupBy("sponsor", "phase_std").agg(
-        F.count(F.lit(1)).cast("int").alias("n"), F.min("seen").alias("seen"))
-    # The ranking total counts every phase, including non-standard labels.
-    totals = per_phase.groupBy("sponsor").agg(
-        F.sum("n").cast("int").alias("total"), F.min("seen").alias("seen"))
+    phase = X.or_unknown(X.js_clean(F.coalesce("phase_std", F.lit(C.UNKNOWN_PHASE))))
+    # one pass: a row per sponsor with its total (every phase counts there,
+    # also labels outside the nine) and a number for each standard phase
+    totals = (chart_view(events, sponsors)
+              .select(X.sponsor_key("lead_sponsor").alias("sponsor"), phase.alias("phase"), _seen().alias("seen"))
+              .groupBy("sponsor").agg(
+                  F.count(F.lit(1)).cast("int").alias("total"), F.min("seen").alias("seen"),
+                  *[F.count_if(F.col("phase") == p).cast("int").alias(f"n{k}") for k, p in enumerate(C.PHASE_ORDER)]))
     order = [F.col("total").desc(), F.col("seen").asc()]
-    top = small_rank(totals.orderBy(*order).limit(top_n), order).drop("seen")  # <= 50 rows
-    cells = top.select("sponsor", "total", "rk",
-                       F.explode(F.array(*[F.lit(p) for p in C.PHASE_ORDER])).alias("phase_std"))
-    counts = per_phase.join(F.broadcast(top.select("sponsor")), "sponsor", "left_semi")
-    return (cells.join(counts.select("sponsor", "phase_std", "n"), ["sponsor", "phase_std"], "left")
-            .select("sponsor", "phase_std", F.coalesce("n", F.lit(0)).cast("int").alias("n"),
-                    "total", F.col("rk").cast("int").alias("rk")))
+    top = small_rank(totals.orderBy(*order).limit(top_n), order)  # <= 50 rows
+    return top.select("sponsor", F.inline(F.array(*[
+        F.struct(F.lit(p).alias("phase_std"), F.col(f"n{k}").alias("n")) for k, p in enumerate(C.PHASE_ORDER)])),
+        "total", F.col("rk").cast("int").alias("rk")).select("sponsor", "phase_std", "n", "total", "rk")
 
 
 def _count_by(events: DataFrame, column: str, preferred, sponsors) -> DataFrame:
@@ -126,6 +122,11 @@ def sponsor_list(events: DataFrame) -> DataFrame:
     return events.select(X.sponsor_key("lead_sponsor").alias("sponsor")).distinct()
 
 
+def locale_order_columns():
+    """Locale order of sponsor keys (ICU root collation: a < A < b)."""
+    return [F.collate("sponsor", "UNICODE"), F.col("sponsor")]
+
+
 def sorted_sponsor_list(events: DataFrame) -> DataFrame:
-    """Sponsor keys in locale order (ICU root collation: a < A < b)."""
-    return sponsor_list(events).orderBy(F.collate("sponsor", "UNICODE"))
+    """Sponsor keys in locale order."""
+    return sponsor_list(events).orderBy(*locale_order_columns())

@@ -1,7 +1,8 @@
 """Count reports: phase x status counts and matrix, upcoming bars, timeline.
 
 Each report is one scan of `studies` and one hash aggregation (partial
-aggregation map-side, so hot keys collapse before the shuffle). Everything
+aggregation map-side, so hot keys collapse before the shuffle); the matrix
+needs its columns and so runs that aggregation when it is built. Everything
 after the aggregation works on results whose size is bounded by the category
 domains (9 phases x statuses) or the horizon (months + 1), so the small
 joins below broadcast data of a known bound.
@@ -34,49 +35,53 @@ def matrix_columns(present, preferred=C.MATRIX_STATUS_ORDER) -> list[str]:
     return [s for s in preferred if s in present] + sorted(present - set(preferred))
 
 
-def phase_status_matrix(studies: DataFrame, statuses=None) -> DataFrame:
-    """Wide form: one row per phase present, one int column per status.
-
-    With `statuses=None` the columns are the statuses present, found with one
-    small action over the aggregated counts (as Spark's own pivot does).
-    Missing cells are 0. Rows sort by phase label.
-    """
+def landed_counts(studies: DataFrame) -> DataFrame:
+    """The long counts, computed by one job and held as a local relation: at
+    most nine rows for each status that occurs. Several reports can be made
+    from them without another scan."""
     counts = phase_status_counts(studies)
-    if statuses is None:
-        # Bounded like Spark's own pivot: at most spark.sql.pivotMaxValues.
-        cap = int(studies.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
-        present = [r[0] for r in counts.select("status").distinct().limit(cap + 1).collect()]
-        if len(present) > cap:
-            raise ValueError(f"more than {cap} distinct statuses; pass `statuses` explicitly")
-        statuses = matrix_columns(present)
-    statuses = list(statuses)
-    wide = counts.groupBy("phase_std").pivot("status", statuses).agg(F.sum("n"))
-    return (wide.select("phase_std",
-                        *[F.coalesce(F.col("`" + s.replace("`", "``") + "`"), F.lit(0))
-                          .cast("int").alias(s) for s in statuses])
-            .orderBy("phase_std"))
-
-
-def dense_phase_status(counts: DataFrame) -> DataFrame:
-    """All (phase present x status present) cells of a long count table,
-    absent cells 0. The phase domain is the nine standard labels, so each
-    status row fans out to at most nine cells (a generator, not a join)."""
-    phases_present = counts.select("phase_std").distinct()
-    grid = (counts.select("status").distinct()
-            .select("status", F.explode(F.array(*[F.lit(p) for p in C.PHASE_ORDER]))
-                    .alias("phase_std"))
-            .join(phases_present, "phase_std", "left_semi"))
-    return (grid.join(counts, ["phase_std", "status"], "left")
-            .select("phase_std", "status", F.coalesce("n", F.lit(0)).cast("int").alias("n")))
+    return studies.sparkSession.createDataFrame(counts.collect(), counts.schema)
+
+
+def matrix_of(counts: DataFrame, preferred=C.MATRIX_STATUS_ORDER) -> DataFrame:
+    """Long counts as one row per phase present and one int column per status
+    present: the preferred ones first, every other one after them. Missing
+    cells are 0. Rows sort by phase label."""
+    present = [r[0] for r in counts.select("status").distinct().collect()]
+    statuses = matrix_columns(present, preferred)
+    cell = lambda s: F.coalesce(F.sum(F.when(F.col("status") == s, F.col("n"))), F.lit(0)).cast("int").alias(s)
+    return counts.groupBy("phase_std").agg(*[cell(s) for s in statuses]).orderBy("phase_std") if statuses else \
+        counts.select("phase_std").distinct()
+
+
+def phase_status_matrix(studies: DataFrame, statuses=None) -> DataFrame:
+    """Wide form, from one scan. The columns are the statuses that occur;
+    `statuses` sets their order only, so no study is ever left out."""
+    return matrix_of(landed_counts(studies), C.MATRIX_STATUS_ORDER if statuses is None else statuses)
 
 
 def phase_status_capped(studies: DataFrame, q: float = C.QUANTILE) -> DataFrame:
     """Dense long matrix with the colour ceiling: z95 is the exact q-quantile
     (linear interpolation) over all cells, zero cells included, truncated to
     int; n_capped = least(n, z95) while n keeps the true value."""
-    dense = dense_phase_status(phase_status_counts(studies))
-    # The dense grid is bounded by 9 phases x the status domain, so one
-    # window over all of it is a single small partition.
+    return capped_of(interventional(studies).select(
+        X.phase_std().alias("phase_std"), X.status_std().alias("status"), F.lit(1).alias("n")), q)
+
+
+def capped_of(counts: DataFrame, q: float = C.QUANTILE) -> DataFrame:
+    """The capped matrix of (phase_std, status, n) rows, which are added up.
+
+    One aggregation to a row per status with a number for each of the nine
+    phases; that row gives its nine cells. A phase without any study is left
+    out. The windows run over at most nine cells a status.
+    """
+    per_status = counts.groupBy("status").agg(*[
+        F.sum(F.when(F.col("phase_std") == p, F.col("n")).otherwise(0)).cast("int").alias(f"n{k}")
+        for k, p in enumerate(C.PHASE_ORDER)])
+    cells = per_status.select("status", F.inline(F.array(*[
+        F.struct(F.lit(p).alias("phase_std"), F.col(f"n{k}").alias("n")) for k, p in enumerate(C.PHASE_ORDER)])))
+    dense = (cells.withColumn("_phase", F.sum("n").over(Window.partitionBy("phase_std")))
+             .where("_phase > 0").select("phase_std", "status", "n"))
     whole = Window.partitionBy(F.lit(0))
     z = F.floor(F.percentile("n", F.lit(q)).over(whole)).cast("int")
     return (dense.withColumn("z95", z)
@@ -116,8 +121,7 @@ def upcoming_phase_status(studies: DataFrame, date_col: str = "start_date",
              .select("phase_std", "status", F.coalesce("n", F.lit(0)).cast("int").alias("count")))
     per_phase = Window.partitionBy("phase_std")
     return (dense.withColumn("phase_total", F.sum("count").over(per_phase).cast("int"))
-            .orderBy(X.category_rank("phase_std", C.PHASE_ORDER),
-                     X.category_rank("status", C.ACTIVE_STATUSES)))
+            .orderBy(*bar_order_columns()))
 
 
 def upcoming_bars_all(studies: DataFrame, asof: _dt.date | None = None,
@@ -144,6 +148,11 @@ def upcoming_bars_all(studies: DataFrame, asof: _dt.date | None = None,
     return dense.withColumn("phase_total", F.sum("count").over(per_phase).cast("int"))
 
 
+def bar_order_columns():
+    """Bars in phase order, then status order."""
+    return [X.category_rank("phase_std", C.PHASE_ORDER), X.category_rank("status", C.ACTIVE_STATUSES)]
+
+
 def with_total_labels(bars: DataFrame) -> DataFrame:
     """Adds the stack total as display text (thousands separators)."""
     return bars.withColumn("total_label", X.format_count("phase_total"))

@@ -5,15 +5,11 @@ Plan shape (one scan per input table):
 * `studies` is read with study type, active status and "any of the three
   dates in the window" as plain column predicates, so they reach the parquet
   / JDBC scan.
-* `sponsors`, `interventions` and `conditions` are reduced to one row per
-  study before any join, with map-side partial aggregation, so a study with
-  a huge number of rows costs one partial row per task in the shuffle.
-  The candidate studies are checkpointed once (they feed the size check,
-  the id filter and the final join). When they are few (a capped count against
-  `broadcast_ids_max`), their ids are broadcast and the three tables are
-  filtered map-side before aggregating; the shuffle then carries only rows
-  of upcoming studies. Otherwise the tables are aggregated whole and joined
-  with a shuffle join.
+* `sponsors`, `interventions` and `conditions` are semi-joined with the
+  candidate ids first and then reduced to one row per study, so the shuffles
+  carry rows of upcoming studies only. Broadcast or shuffle is left to Spark
+  (threshold, AQE). The lists are deduplicated on (study, value) before they
+  are collected, which spreads a study with very many rows over tasks.
 * The summaries are joined once per study, then each study is unpivoted into
   up to three event rows with a generator (no self-union, no second scan).
 """
@@ -30,7 +26,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import columns as X
 from ..schemas import EVENT_COLUMNS
-from .ranking import checkpoint_dir
 
 _DATE_AND_TYPE = tuple(c for pair in C.EVENT_SOURCES.values() for c in pair)
 
@@ -109,29 +104,39 @@ def event_rows(df: DataFrame, asof: _dt.date | None, months: int,
 def lead_sponsors(sponsors: DataFrame) -> DataFrame:
     """First lead sponsor by name per study (nulls only if no named lead).
 
-    min() is the null-skipping "order by name limit 1"; as an algebraic
-    aggregate it is combined map-side, so a study with very many sponsor
-    rows costs one partial row per task before the shuffle.
+    min() is the null-skipping "order by name limit 1". Spark sorts to
+    aggregate text, so the rows are deduplicated by hash first.
     """
     return (sponsors.where(F.col("lead_or_collaborator") == C.LEAD_ROLE)
+            .select("nct_id", "name").distinct()
             .groupBy("nct_id").agg(F.min("name").alias("lead_sponsor")))
 
 
+def _distinct_lists(df: DataFrame, values, lists) -> DataFrame:
+    """Per study, sorted-distinct lists of several columns. A row becomes one
+    (study, column number, value) each; these are deduplicated map-side and
+    over all tasks before a study's values meet, so a study with a large part
+    of all rows is no single task's work. Studies with nulls only stay."""
+    each = df.select("nct_id", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in enumerate(values)])).alias("v"))
+    once = each.select("nct_id", "v.kind", "v.value").distinct()
+    return once.groupBy("nct_id").agg(*[
+        X.sorted_join(F.when(F.col("kind") == k, F.col("value")), sep).alias(name)
+        for k, (name, sep) in enumerate(lists)])
+
+
 def intervention_summary(interventions: DataFrame) -> DataFrame:
     """Per study: distinct intervention types joined by ', ' and distinct
     60-character names joined by ' · ', both in binary order."""
-    return interventions.groupBy("nct_id").agg(
-        X.sorted_distinct_join("intervention_type", C.LIST_SEPARATOR).alias("intervention_types"),
-        X.sorted_distinct_join(X.left_chars("name", C.NAME_CHARS),
-                               C.INTERVENTION_NAME_SEPARATOR).alias("interventions"),
-    )
+    return _distinct_lists(
+        interventions, [F.col("intervention_type"), X.left_chars("name", C.NAME_CHARS)],
+        [("intervention_types", C.LIST_SEPARATOR), ("interventions", C.INTERVENTION_NAME_SEPARATOR)])
 
 
 def condition_summary(conditions: DataFrame) -> DataFrame:
     """Per study: distinct 60-character condition names joined by ', '."""
-    return conditions.groupBy("nct_id").agg(
-        X.sorted_distinct_join(X.left_chars("name", C.NAME_CHARS), C.LIST_SEPARATOR)
-        .alias("conditions"))
+    return _distinct_lists(conditions, [X.left_chars("name", C.NAME_CHARS)],
+                           [("conditions", C.LIST_SEPARATOR)])
 
 
 def lead_sponsor_by_study(studies: DataFrame, sponsors: DataFrame) -> DataFrame:
@@ -142,63 +147,31 @@ def lead_sponsor_by_study(studies: DataFrame, sponsors: DataFrame) -> DataFrame:
 
 # --- the event table -----------------------------------------------------------
 
-# Bytes one candidate id takes in a broadcast hash relation (key + row).
-BYTES_PER_ID = 64
-
-
-def default_broadcast_ids_max(spark) -> int:
-    """How many candidate ids may be broadcast: the session's broadcast
-    threshold (spark.sql.autoBroadcastJoinThreshold) divided by the size of
-    one id; 0 (never broadcast) when broadcasting is switched off."""
-    limit = C.byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
-    return max(0, limit // BYTES_PER_ID)
-
-
-def broadcastable_ids(ids: DataFrame, cap: int) -> bool:
-    """True when `ids` has at most `cap` rows. The count stops at cap + 1, so
-    the check costs at most a bounded read beyond the filtered scan."""
-    return cap > 0 and ids.limit(cap + 1).count() <= cap
-
 
 def upcoming_events(studies: DataFrame, sponsors: DataFrame, interventions: DataFrame,
                     conditions: DataFrame, asof: _dt.date | None = None,
                     months: int = C.TABLE_HORIZON_MONTHS, strategy: str = "explode",
-                    broadcast_ids_max: int | None = None) -> DataFrame:
-    """The upcoming-milestone table (unsorted; see `sort_events`).
-
-    Building it runs two small jobs: the candidate studies are checkpointed
-    (reliable folder, see `ranking.checkpoint_dir`) and counted up to
-    `broadcast_ids_max + 1`. The returned DataFrame is lazy from there on.
-    `broadcast_ids_max` caps the candidate ids that may be broadcast; by
-    default it follows the session's broadcast threshold.
+                    candidates: DataFrame | None = None, join_hint: str | None = None) -> DataFrame:
+    """The upcoming-milestone table (unsorted; see `sort_events`), lazy.
+
+    `candidates` may give the rows of `upcoming_studies` from a written table
+    (the report job does); else they are part of the plan. `join_hint` is put
+    on the candidate ids, e.g. "merge" where a broadcast is not wanted.
     """
     months = C.check_months(months)
-    # several queries below: they must all see the same as-of day
-    asof = X.resolve_asof(studies.sparkSession, asof)
-    # The candidate studies are read by the size check, the id filter and the
-    # join: materialise them once in the reliable checkpoint folder. The
-    # window keeps a small share of a scan with many splits; hashing them on
-    # the join key lets AQE size the partitions, so the checkpoint is a few
-    # right-sized files rather than one nearly empty file per scan split.
-    checkpoint_dir(studies.sparkSession)
-    cand = upcoming_studies(studies, asof, months).repartition("nct_id").checkpoint(eager=True)
+    cand = upcoming_studies(studies, asof, months) if candidates is None else candidates
     ids = cand.select("nct_id")
-    if broadcast_ids_max is None:
-        broadcast_ids_max = default_broadcast_ids_max(studies.sparkSession)
-    if broadcastable_ids(ids, broadcast_ids_max):
-        small = F.broadcast(ids)  # size checked just above
-
-        def keep(df: DataFrame) -> DataFrame:
-            return df.join(small, "nct_id", "left_semi")
-    else:
-        def keep(df: DataFrame) -> DataFrame:
-            return df
-    lead = lead_sponsors(keep(sponsors))
-    iv = intervention_summary(keep(interventions))
-    cond = condition_summary(keep(conditions))
-    wide = (cand.join(lead, "nct_id", "left")
-                .join(iv, "nct_id", "left")
-                .join(cond, "nct_id", "left"))
+    if join_hint:
+        ids = ids.hint(join_hint)
+
+    def keep(df: DataFrame) -> DataFrame:
+        # before any aggregation: only rows of candidate studies go on. How
+        # they are joined is Spark's choice, from the sizes it sees.
+        return df.join(ids, "nct_id", "left_semi")
+
+    wide = (cand.join(lead_sponsors(keep(sponsors)), "nct_id", "left")
+                .join(intervention_summary(keep(interventions)), "nct_id", "left")
+                .join(condition_summary(keep(conditions)), "nct_id", "left"))
     return event_rows(wide, asof, months, strategy=strategy).select(*EVENT_COLUMNS)
 
 

@@ -14,8 +14,6 @@ Two cases:
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,10 +23,10 @@ _POS_BITS = 33  # monotonically_increasing_id(): partition index << 33 | row ind
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's reliable checkpoint folder.
 
-    Uses SparkContext's folder or `spark.checkpoint.dir`. Only when neither is
-    set and the master is local (tests, single machine) is a local folder made;
-    on a cluster an unset folder is an error, since a machine-local folder
-    would not survive the loss of that machine.
+    Uses SparkContext's folder or `spark.checkpoint.dir`; with neither, on a
+    local master, a folder in the session's warehouse. On a cluster an unset
+    folder is an error, since a machine-local folder would not survive the
+    loss of that machine.
     """
     try:
         sc = spark.sparkContext
@@ -42,7 +40,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
     if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="trialscope-ckpt-"))
+        sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/trialscope-checkpoints")
         return sc.getCheckpointDir()
     raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
                        "before ranking or writing intermediate tables")

@@ -13,7 +13,7 @@ import datetime as _dt
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -104,34 +104,40 @@ class TrialReports:
         spark = self.studies.sparkSession
         written: dict[str, str | None] = {}
 
-        written["phase_status"] = writers.write_csv(
-            self.phase_status_counts(), f"{out}/phase_status", single_file=True)
-        written["phase_status_matrix"] = writers.write_csv(
-            self.phase_status_matrix(), f"{out}/phase_status_matrix", single_file=True)
-        written["phase_status_capped"] = writers.write_csv(
-            self.phase_status_capped(), f"{out}/phase_status_capped", single_file=True)
-        written["timeline"] = writers.write_csv(
-            self.timeline(), f"{out}/timeline", single_file=True)
-        # The three bar tables from one scan, one folder per date column
-        # (date_column=<name>); a column without any row in the window is
-        # skipped, not zero-filled.
-        bars = counts.upcoming_bars_all(self.studies, self.asof, self.bars_months)
-        column_total = F.sum("count").over(Window.partitionBy("date_column"))
-        bars_path = f"{out}/bars"
-        (bars.withColumn("_total", column_total).where("_total > 0").drop("_total")
-         .repartition(1, "date_column")
-         .write.mode("overwrite").partitionBy("date_column")
-         .options(**writers.CSV_WRITE_OPTIONS).csv(bars_path))
-        present = set(_partition_values(spark, bars_path, "date_column"))
+        # three reports from one scan: at most nine counts a status
+        long = counts.landed_counts(self.studies)
+        for name, df in (("phase_status", long), ("phase_status_matrix", counts.matrix_of(long)),
+                         ("phase_status_capped", counts.capped_of(long))):
+            written[name] = writers.write_csv(df, f"{out}/{name}", single_file=True)
+        timeline = writers.landed(self.timeline())  # months + 1 rows
+        written["timeline"] = writers.write_csv(timeline, f"{out}/timeline", order=["month"], single_file=True)
+        written["timeline_long"] = writers.write_csv(
+            counts.timeline_long(timeline), f"{out}/timeline_long", single_file=True)
+        # The three bar tables from one scan (3 x 36 rows); a column without
+        # any row in the window is skipped, not zero-filled.
+        bars = writers.landed(counts.with_total_labels(
+            counts.upcoming_bars_all(self.studies, self.asof, self.bars_months)))
         for date_col in C.DATE_COLUMNS:
-            written[f"bars_{date_col}"] = (f"{bars_path}/date_column={date_col}"
-                                           if date_col in present else None)
+            mine = bars.where(F.col("date_column") == date_col).drop("date_column")
+            written[f"bars_{date_col}"] = writers.write_unless_empty(
+                mine, writers.write_csv, f"{out}/bars/{date_col}", check=mine.where("count > 0"),
+                order=counts.bar_order_columns(), single_file=True)
 
         # The event table: parquet once, then CSV from it in final order.
-        ev_path = writers.write_parquet(self.events(), f"{out}/events_parquet")
+        # The candidate studies feed four joins: they are landed first.
+        candidates = spark.read.parquet(writers.write_parquet(
+            events.upcoming_studies(self.studies, self.asof, self.table_months), f"{out}/candidates"))
+        ev_path = writers.write_parquet(events.upcoming_events(
+            self.studies, self.sponsors, self.interventions, self.conditions, self.asof,
+            self.table_months, candidates=candidates), f"{out}/events_parquet")
         written["events_parquet"] = ev_path
         ev = events_file.read_events_parquet(spark, ev_path)
         written["events_csv"] = writers.write_events_csv(ev, f"{out}/events_csv")
+        written["events_json"] = writers.write_json(
+            ev, f"{out}/events_json", order=events.event_order_columns())
+        # the display page: its own order, enrollment as text
+        written["events_display"] = writers.write_csv(
+            events.display_events(ev), f"{out}/events_display", order=events.page_order_columns())
         charted = TrialReports(self.studies, self.sponsors, self.interventions, self.conditions,
                                self.asof, self.timeline_months, self.bars_months,
                                self.table_months).use_events(ev)
@@ -148,15 +154,3 @@ class TrialReports:
         # one row per sponsor: grows with the data, so written in parallel
         written["sponsor_list"] = writers.write_csv(charted.sponsor_list(), f"{out}/sponsor_list")
         return written
-
-
-def _partition_values(spark, path: str, column: str) -> list[str]:
-    """Values of a partition column present under a written folder (a small
-    report: at most 3 x 36 rows)."""
-    try:
-        df = spark.read.option("basePath", path).csv(path)
-    except Exception:  # nothing written
-        return []
-    if column not in df.columns:
-        return []
-    return [r[0] for r in df.select(column).distinct().collect()]

@@ -1,4 +1,4 @@
-"""Reports written as Spark SQL text over temp views (`spark.sql`).
+"""Reports written as Spark SQL text (`spark.sql`) over the given tables.
 
 The same plans as the DataFrame functions, for users who keep report
 queries as SQL. Values are bound as named parameters; the only text that is
@@ -21,7 +21,7 @@ def phase_status_counts_sql(spark: SparkSession, tables: Mapping[str, DataFrame]
     return run_sql(spark, tables, f"""
         SELECT {phase_case()} AS phase_std, {status_expr()} AS status,
                CAST(count(*) AS INT) AS n
-        FROM studies
+        FROM {{studies}}
         WHERE study_type = :study_type
         GROUP BY 1, 2""", study_type=C.INTERVENTIONAL)
 
@@ -34,7 +34,7 @@ def upcoming_counts_sql(spark: SparkSession, tables: Mapping[str, DataFrame], da
     return run_sql(spark, tables, f"""
         SELECT {phase_case()} AS phase_std, {status_expr()} AS status,
                CAST(count(*) AS INT) AS n
-        FROM studies
+        FROM {{studies}}
         WHERE study_type = :study_type
           AND overall_status IN {sql_in_list(C.ACTIVE_STATUSES)}
           AND {date_col} >= :asof

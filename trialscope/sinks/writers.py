@@ -21,14 +21,25 @@ CSV_WRITE_OPTIONS = {"header": "true", "escape": '"', "quote": '"',
 
 
 def _maybe_single(df: DataFrame, single_file: bool) -> DataFrame:
-    return df.coalesce(1) if single_file else df
+    # a shuffle of the small result: the stage that makes it keeps its tasks
+    return df.repartition(1) if single_file else df
+
+
+def _ordered(df: DataFrame, order, single_file: bool) -> DataFrame:
+    if not order:
+        return _maybe_single(df, single_file)
+    return df.repartition(1).sortWithinPartitions(*order) if single_file else df.orderBy(*order)
+
+
+def landed(df: DataFrame) -> DataFrame:
+    """A small report, of a known bound, as a local relation: computed once."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
 def write_csv(df: DataFrame, path: str, order=None, single_file: bool = False,
               mode: str = "overwrite") -> str:
     """CSV with a header row, RFC 4180 quoting, null as an empty field."""
-    out = df.orderBy(*order) if order else df
-    _maybe_single(out, single_file).write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+    _ordered(df, order, single_file).write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
     return path
 
 
@@ -42,8 +53,7 @@ def write_events_csv(events: DataFrame, path: str, single_file: bool = False,
 def write_json(df: DataFrame, path: str, order=None, single_file: bool = False,
                mode: str = "overwrite") -> str:
     """JSON lines, one object per row; nulls written as null (not dropped)."""
-    out = df.orderBy(*order) if order else df
-    (_maybe_single(out, single_file).write.mode(mode)
+    (_ordered(df, order, single_file).write.mode(mode)
      .option("ignoreNullFields", "false").option("dateFormat", "yyyy-MM-dd").json(path))
     return path
 

@@ -6,7 +6,6 @@ from .tables import (  # noqa: F401
     nct_id_predicates,
     read_jdbc_tables,
     read_tables,
-    register_views,
     run_sql,
     spread,
 )

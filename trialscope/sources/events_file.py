@@ -24,8 +24,12 @@ def _typed(df: DataFrame) -> DataFrame:
     for f in EVENTS.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.IntegerType):
-            # an int column with nulls is written by pandas as 1234.0
-            c = c.try_cast("double").try_cast("int")
+            # an int column with nulls is written by pandas as 1234.0; any
+            # other text fails, with the value in the message
+            whole = F.trim(c)
+            c = F.when(whole.rlike(r"^[+-]?[0-9]+(\.0*)?$"),
+                       F.regexp_replace(whole, r"\.0*$", "").cast("int")).when(
+                c.isNotNull(), F.raise_error(F.concat(F.lit(f"{f.name} is no integer: "), c)).cast("int"))
         elif isinstance(f.dataType, T.DateType):
             c = F.to_date(c)
         out.append(c.alias(f.name))

@@ -1,12 +1,14 @@
 """Readers for the four input tables: parquet / any file format, or JDBC.
 
-Every reader declares the schema (no inference) and returns lazy DataFrames;
+Readers cast to the declared schema (text formats are read with it, nothing
+is inferred) and return lazy DataFrames;
 filters and column pruning of the later reports reach the scan (parquet
 row-group skipping, or a WHERE clause sent to the database).
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,18 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(want)
 
 
+# A CSV registry has a header row, RFC 4180 quotes and titles of several lines.
+DEFAULT_OPTIONS = {"csv": {"header": "true", "quote": '"', "escape": '"', "multiLine": "true",
+                           "mode": "FAILFAST", "enforceSchema": "false"}}
+
+
+def _entry(spark: SparkSession, folder: str, name: str, fmt: str) -> str:
+    """`<folder>/<name>`, or `<folder>/<name>.<fmt>` where only that is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return f"{folder}/{name}" if fs.exists(path) else f"{folder}/{name}.{fmt}"
+
+
 def read_tables(spark: SparkSession, paths: str | Mapping[str, str],
                 fmt: str = "parquet", options: Mapping[str, str] | None = None,
                 snapshot: str | None = None, snapshot_column: str = "snapshot") -> dict[str, DataFrame]:
@@ -43,12 +57,12 @@ def read_tables(spark: SparkSession, paths: str | Mapping[str, str],
     the equality filter prunes the other snapshots at file listing.
     """
     out = {}
-    for name in TABLE_NAMES:
+    for name in TABLE_NAMES if isinstance(paths, str) else paths:
         if isinstance(paths, str):
-            path = f"{paths.rstrip('/')}/{name}"
+            path = _entry(spark, paths.rstrip("/"), name, fmt)
         else:
             path = paths[name]
-        reader = spark.read.format(fmt).options(**(options or {}))
+        reader = spark.read.format(fmt).options(**{**DEFAULT_OPTIONS.get(fmt, {}), **(options or {})})
         if fmt != "parquet":
             reader = reader.schema(schemas.INPUTS[name])
         df = reader.load(path)
@@ -64,8 +78,12 @@ def nct_id_predicates(bounds: Sequence[str], column: str = "nct_id") -> list[str
 
     `bounds` must be ascending; e.g. ["NCT02", "NCT04"] gives
     nct_id < 'NCT02', 'NCT02' <= nct_id < 'NCT04', nct_id >= 'NCT04' and
-    nct_id IS NULL. The ranges cover every row exactly once.
+    nct_id IS NULL. The ranges cover every row exactly once. Bounds hold
+    digits and capital letters only: their order is the same in every
+    database collation, so no two ranges overlap there.
     """
+    if not all(re.fullmatch("[0-9A-Z]+", b) for b in bounds):
+        raise ValueError("bounds may hold digits and capital letters only")
     if list(bounds) != sorted(bounds) or len(set(bounds)) != len(bounds):
         raise ValueError("bounds must be strictly ascending")
 
@@ -82,15 +100,19 @@ def nct_id_predicates(bounds: Sequence[str], column: str = "nct_id") -> list[str
 
 
 def read_jdbc_tables(spark: SparkSession, url: str, properties: Mapping[str, str],
-                     schema_name: str = "ctgov", bounds: Sequence[str] = (),
-                     fetchsize: int = 10000) -> dict[str, DataFrame]:
+                     schema_name: str | None = None, bounds: Sequence[str] = (),
+                     fetchsize: int = 10000, one_connection: bool = False) -> dict[str, DataFrame]:
     """Read the four tables over JDBC (e.g. PostgreSQL with sslmode=require
     in the URL; user / password in `properties`).
 
     With `bounds`, each table is read as len(bounds) + 2 parallel range
     queries on nct_id (a text key cannot be a numeric partition column).
     Spark pushes the reports' filters and column lists into each query.
+    Without bounds a table is one task; that must be asked for with
+    `one_connection`.
     """
+    if not bounds and not one_connection:
+        raise ValueError("give nct_id bounds for parallel reads, or one_connection=True for a small registry")
     props = {"fetchsize": str(fetchsize), **properties}
     preds = nct_id_predicates(bounds) if bounds else None
     out = {}
@@ -106,17 +128,11 @@ def read_jdbc_tables(spark: SparkSession, url: str, properties: Mapping[str, str
     return out
 
 
-def register_views(tables: Mapping[str, DataFrame]) -> None:
-    """Expose the tables as temp views, for ad-hoc `spark.sql(...)`."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-
-
 def run_sql(spark: SparkSession, tables: Mapping[str, DataFrame], text: str, **args) -> DataFrame:
-    """Ad-hoc SQL over the tables (registered as temp views first).
+    """Ad-hoc SQL over the tables, named in the text as `{studies}` and so on;
+    the caller's own views are left alone.
 
     Named parameters (`:name` in the text) are bound by Spark, not pasted into
     the text.
     """
-    register_views(tables)
-    return spark.sql(text, args=args or None)
+    return spark.sql(text, args=args or None, **tables)

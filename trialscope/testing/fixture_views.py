@@ -28,7 +28,6 @@ STATUS_BY_ORDERKEY = (
 START_TYPE_BY_ORDERKEY = ("ACTUAL", "ESTIMATED", None)
 PRIMARY_TYPE_BY_ORDERKEY = ("ACTUAL", "ESTIMATED", None, None, None)
 COMPLETION_TYPE_BY_ORDERKEY = ("ACTUAL", "ESTIMATED", None, None)
-TITLE_DOCS = 200
 
 TABLES = ("orders", "lineitem", "supplier", "part", "documents")
 
@@ -55,36 +54,25 @@ def _nct(key: str) -> Column:
 def trial_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """studies, sponsors, interventions, conditions as lazy DataFrames.
 
-    The definitions (not data) are built once per session and folder: making
-    them lists the files, reads the parquet footers and analyses the mapping,
-    which costs more driver time than running a small report. Every use still
-    scans the files in full.
+    Nothing is kept between calls: every use lists the files, reads their
+    footers, analyses the mapping and scans the files in full.
     """
-    memo = spark.__dict__.setdefault("_trialscope_tables", {})
-    if sf_dir not in memo:
-        memo[sf_dir] = _derive(spark, sf_dir)
-    return dict(memo[sf_dir])
-
-
-def _derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     star = read_star(spark, sf_dir)
     orders, lineitem = star["orders"], star["lineitem"]
 
     k = F.col("o_orderkey")
     ship = lineitem.groupBy("l_orderkey").agg(
         F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
-    # doc_id = o_orderkey % 200 can only hold inside (-200, 200); the range
-    # predicate is implied by the join and lets the scan skip the rest.
-    titles = (star["documents"]
-              .where(F.col("doc_id").between(1 - TITLE_DOCS, TITLE_DOCS - 1))
-              .select("doc_id", F.col("text").alias("brief_title")))
+    titles = star["documents"].select("doc_id", F.col("text").alias("brief_title"))
+    # every document gives titles: order keys go round the whole table
+    n_docs = star["documents"].agg(F.count(F.lit(1)).alias("n")).scalar()
     odate = F.col("o_orderdate").cast("date")
     studies = (
         orders
         # dates first, titles last: a report's date filter is then pushed
         # below the title join and only surviving rows carry their text
         .join(ship, ship["l_orderkey"] == k, "left")
-        .join(titles, titles["doc_id"] == k % TITLE_DOCS, "left")
+        .join(titles, titles["doc_id"] == k % n_docs, "left")
         .select(
             _nct("o_orderkey").alias("nct_id"),
             F.when(k % 10 == 9, "OBSERVATIONAL").otherwise("INTERVENTIONAL").alias("study_type"),
@@ -104,11 +92,18 @@ def _derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         )
     )
 
+    # names as registries hold them: missing, blank, padded, with a tab or a
+    # no-break space at an end
+    s = F.col("l_suppkey") % 50
+    sponsor = (F.when(s == 0, F.lit(None).cast("string")).when(s == 7, F.lit(" \t "))
+               .when(s == 11, F.concat(F.lit("  "), F.col("s_name"), F.lit(" ")))
+               .when(s == 13, F.concat(F.lit("\t"), F.col("s_name"), F.lit("\u00a0")))
+               .otherwise(F.col("s_name")))
     sponsors = (
         lineitem.join(star["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
             _nct("l_orderkey").alias("nct_id"),
-            F.when(F.col("l_suppkey") % 50 != 0, F.col("s_name")).alias("name"),
+            sponsor.alias("name"),
             F.when(F.col("l_linenumber") <= 2, "lead").otherwise("collaborator")
              .alias("lead_or_collaborator"),
         )
@@ -172,13 +167,15 @@ studies AS (
     CAST(sh.last_ship AS DATE) AS completion_date,
     {_sql_by_mod('o.o_orderkey', COMPLETION_TYPE_BY_ORDERKEY)} AS completion_date_type
   FROM orders o
-  LEFT JOIN documents d ON d.doc_id = o.o_orderkey % {TITLE_DOCS}
+  LEFT JOIN documents d ON d.doc_id = o.o_orderkey % (SELECT count(*) FROM documents)
   LEFT JOIN (SELECT l_orderkey, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
              FROM lineitem GROUP BY l_orderkey) sh ON sh.l_orderkey = o.o_orderkey
 ),
 sponsors AS (
   SELECT {_sql_nct('l.l_orderkey')} AS nct_id,
-         CASE WHEN l.l_suppkey % 50 = 0 THEN NULL ELSE s.s_name END AS name,
+         CASE l.l_suppkey % 50 WHEN 0 THEN NULL WHEN 7 THEN ' ' || chr(9) || ' '
+              WHEN 11 THEN '  ' || s.s_name || ' ' WHEN 13 THEN chr(9) || s.s_name || chr(160)
+              ELSE s.s_name END AS name,
          CASE WHEN l.l_linenumber <= 2 THEN 'lead' ELSE 'collaborator' END AS lead_or_collaborator
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
 ),

@@ -9,14 +9,16 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import charts, counts, events, ranking
 from ..plans import sql_reports
 from ..sinks import writers
-from ..sources import events_file
+from ..sources import events_file, read_tables
 from . import oracles
 from .fixture_views import trial_tables
 
@@ -30,10 +32,10 @@ def _t(spark, sf_dir):
 
 
 def _events(spark, sf_dir, strategy="explode", months=C.TABLE_HORIZON_MONTHS,
-            broadcast_ids_max=None) -> DataFrame:
+            join_hint=None) -> DataFrame:
     t = _t(spark, sf_dir)
     return events.upcoming_events(t["studies"], t["sponsors"], t["interventions"],
-                                  t["conditions"], ASOF, months, strategy, broadcast_ids_max)
+                                  t["conditions"], ASOF, months, strategy, join_hint=join_hint)
 
 
 def _event_rows(strategy):
@@ -60,6 +62,26 @@ def _csv_roundtrip(spark, sf_dir):
     return events_file.read_events_csv(spark, path)
 
 
+def _tables_roundtrip(spark, sf_dir):
+    """The four tables written and read back with `read_tables`: the source's
+    row, study and text counts (CSV for two, parquet for two)."""
+    root, out = _scratch(spark, "tables"), []
+    tables = _t(spark, sf_dir)
+    for fmt, names in (("csv", ("studies", "sponsors")), ("parquet", ("interventions", "conditions"))):
+        for name in names:
+            if fmt == "csv":
+                writers.write_csv(tables[name], f"{root}/{name}")
+            else:
+                writers.write_parquet(tables[name], f"{root}/{name}.parquet")
+    back = (read_tables(spark, {n: f"{root}/{n}" for n in ("studies", "sponsors")}, "csv")
+            | read_tables(spark, {n: f"{root}/{n}.parquet" for n in ("interventions", "conditions")}))
+    for name, df in back.items():
+        text = "brief_title" if name == "studies" else "name"
+        out.append(df.agg(F.lit(name).alias("name"), F.count("*").alias("n"),
+                          F.countDistinct("nct_id").alias("studies"), F.count(text).alias("texts")))
+    return reduce(DataFrame.unionByName, out)
+
+
 def _json_export(spark, sf_dir):
     ev = _events(spark, sf_dir)
     path = writers.write_json(ev, _scratch(spark, "events_json"), order=events.event_order_columns())
@@ -71,7 +93,7 @@ def queries() -> dict[str, Query]:
         "phase_status_counts": lambda s, d: counts.phase_status_counts(_t(s, d)["studies"]),
         "phase_status_matrix": lambda s, d: counts.phase_status_matrix(_t(s, d)["studies"]),
         "phase_status_matrix_explicit": lambda s, d: counts.phase_status_matrix(
-            _t(s, d)["studies"], C.MATRIX_STATUS_ORDER),
+            _t(s, d)["studies"], list(reversed(C.MATRIX_STATUS_ORDER))),
         "phase_status_capped": lambda s, d: counts.phase_status_capped(_t(s, d)["studies"]),
         "timeline_wide": lambda s, d: counts.upcoming_timeline(_t(s, d)["studies"], ASOF),
         "timeline_long": lambda s, d: counts.timeline_long(
@@ -94,9 +116,8 @@ def queries() -> dict[str, Query]:
         "condition_summary": lambda s, d: events.condition_summary(_t(s, d)["conditions"]),
         "upcoming_events": _events,
         "upcoming_events_6m": lambda s, d: _events(s, d, months=6),
-        # the path taken when the candidates are too many to broadcast:
-        # whole-table aggregation with map-side combine, then shuffle joins
-        "upcoming_events_shuffle": lambda s, d: _events(s, d, broadcast_ids_max=0),
+        # the same plan with shuffle joins on the candidate ids
+        "upcoming_events_shuffle": lambda s, d: _events(s, d, join_hint="merge"),
         "upcoming_events_ranked": lambda s, d: ranking.global_rank(
             _events(s, d), events.event_order_columns()),
         "upcoming_events_display": lambda s, d: events.display_events(_events(s, d)),
@@ -111,6 +132,14 @@ def queries() -> dict[str, Query]:
         "top_intervention_types_filtered": lambda s, d: charts.top_intervention_types(
             _events(s, d), oracles.TOP_TYPES_N, oracles.FILTER_REQUEST),
         "sponsor_list": lambda s, d: charts.sponsor_list(_events(s, d)),
+        "upcoming_events_page_order": lambda s, d: ranking.global_rank(
+            _events(s, d), [*events.page_order_columns(), F.col("nct_id")]),
+        "sponsor_list_sorted": lambda s, d: ranking.global_rank(
+            charts.sponsor_list(_events(s, d)), charts.locale_order_columns()),
+        "upcoming_bars_labels": lambda s, d: counts.with_total_labels(_bars("start_date")(s, d)),
+        "top_sponsor_phase_json_request": lambda s, d: charts.top_sponsor_phase(
+            _events(s, d), "12.9", C.parse_sponsor_request(None, " , ", oracles.JSON_REQUEST)),
+        "tables_roundtrip": _tables_roundtrip,
         "events_csv_roundtrip": _csv_roundtrip,
         "events_json_export": _json_export,
     }
