@@ -7,8 +7,10 @@ folder:
 
 where `tables` holds the four input tables (see `sources.read_tables`).
 A file stream over the manifests, with its own checkpoint, hands each new
-manifest to `foreachBatch` exactly once, which runs the batch report job
-(`TrialReports.write_all`) into `<out_dir>/<snapshot_id>`. Only the manifest
+manifest to `foreachBatch` at least once, which runs the batch report job
+(`TrialReports.write_all`) into `<out_dir>/<snapshot_id>`; the reports are
+overwritten, so a repeated batch gives the same result. An extra beside the
+operator inventory, which has no streaming item. Only the manifest
 rows (one per snapshot in the micro-batch) reach the driver; the reports are
 ordinary distributed jobs.
 """
