@@ -41,6 +41,7 @@ WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 NEVER = float("inf")
+MEMO_BORDERS = 400_000  # borders between two pieces that a worker remembers
 
 
 class _Unigram:
@@ -116,7 +117,7 @@ class _Merges:
                     i += 1
                 else:
                     j += 1
-            if len(self.beside) > 2_000_000:
+            if len(self.beside) >= MEMO_BORDERS:
                 self.beside.clear()
             self.beside[key] = known
         return known
@@ -159,10 +160,15 @@ class PieceCodec:
         self.bytes_at = np.cumsum(self.bytes_n) - self.bytes_n
         self.bytes = np.frombuffer(b"".join(raw), np.uint8)
         self.marked = np.array([p.type == NORMAL and p.piece.startswith(MARK) for p in model.pieces] + [False])
-        self.walk = (_Merges(score) if spec.model_type == BPE else
-                     _Unigram(score, min(score.values(), default=0.0) - 10.0))
+        self.score, self.bpe = score, spec.model_type == BPE
         self.words = _Memo()
 
+    @functools.cached_property
+    def walk(self) -> _Merges | _Unigram:
+        """Made when first needed: workers that only decode stay small."""
+        return (_Merges(self.score) if self.bpe else
+                _Unigram(self.score, min(self.score.values(), default=0.0) - 10.0))
+
     def _ids(self, pieces: list[str]) -> list[int]:
         out: list[int] = []
         for p in pieces:

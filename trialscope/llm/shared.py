@@ -16,7 +16,7 @@ from pyspark.sql.types import StructField, StructType
 
 # Bytes of text that one Python step holds at a time (one longer text is a
 # step of its own).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -82,6 +82,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES
                 begin, held = i, 0
             held += int(n)
         yield batch.slice(begin)
+        pa.default_memory_pool().release_unused()
 
 
 def keep_rows(docs: DataFrame, judge: Callable[[pa.Array], np.ndarray]) -> DataFrame:

@@ -18,8 +18,8 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 START = "\x02"          # marks the first chunk of a text, which has no leading space
-MEMO_CHUNKS = 2_000_000  # chunks a worker remembers before it starts afresh
-MEMO_PIECES = 1_000_000
+MEMO_CHUNKS = 1_000_000  # chunks a worker remembers before it starts afresh
+MEMO_PIECES = 500_000
 UNSAFE = -1
 
 
