@@ -50,7 +50,8 @@ def context_limits(histogram: DataFrame) -> DataFrame:
     cut at L), quantile (the share of documents of at most L tokens).
     """
     block = F.floor(F.col("n_tokens") / SPAN)
-    h = histogram.withColumn("block", block).withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
+    # used twice below: written once, so that texts are encoded once
+    h = shared.stored(histogram, "lengths").withColumn("block", block).withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
     # one row for 1024 lengths: as many as the longest document has thousands of tokens
     blocks = h.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     after = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
