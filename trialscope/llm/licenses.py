@@ -9,18 +9,29 @@ least] times |B|, which prunes templates before any bigram is compared. Units
 that still have a template are joined on their bigrams to the templates'
 (a fixed list, a few thousand rows) and counted.
 
+Passages are the notices that are no unit of their own: inside a sentence, or
+over several lines or paragraphs above other text. A passage is a run of
+consecutive words, at most (2 - least) / least times as long as the template;
+it may begin at every bigram that the template has, and ends where its Dice
+coefficient is greatest. Every template's bigrams are found in chunks of the
+text, and only chunks that hold enough of one template are looked at closer.
+Of passages that overlap the best stays, then the best of the others, and so on.
+
 Defined results: a null or empty text, or a unit of one word, has no bigram
 and no match; a unit that matches several templates gets the best, of equals
-the first by name; rows with equal doc_id and equal text report once; an empty
-table gives no rows.
+the first by name; of equal passages the first name, then the first place;
+rows with equal doc_id and equal text report once; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LEAST = 0.8
+CHUNK = 4096  # words in which one row looks for the beginnings of passages
 
 # The wording of public licences and of their usual notices.
 TEMPLATES = (
@@ -72,11 +83,16 @@ TEMPLATES = (
 )
 
 
-def _bigrams(text: Column) -> Column:
-    """Distinct pairs of neighbouring words. The pattern finds the pair that
+def _pairs(text: Column) -> Column:
+    """Pairs of neighbouring words, in order. The pattern finds the pair that
     begins at each word without moving on, so the text is normalised once."""
     words = F.lower(F.regexp_replace(text, "[^A-Za-z0-9]+", " "))
-    return F.array_distinct(F.regexp_extract_all(words, F.lit("(?<![^ ])(?=([^ ]+ [^ ]+))"), F.lit(1)))
+    return F.regexp_extract_all(words, F.lit("(?<![^ ])(?=([^ ]+ [^ ]+))"), F.lit(1))
+
+
+def _bigrams(text: Column) -> Column:
+    """Distinct pairs of neighbouring words."""
+    return F.array_distinct(_pairs(text))
 
 
 def template_bigrams(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
@@ -132,6 +148,69 @@ def license_scan(docs: DataFrame, least: float = LEAST, templates=TEMPLATES) ->
                     (-F.col("best.worst")).alias("dice")))
 
 
-def _python_bigrams(text: str) -> set[tuple[str, str]]:
+def license_passages(docs: DataFrame, least: float = LEAST, templates=TEMPLATES, chunk: int = CHUNK) -> DataFrame:
+    """(doc_id, first_word, last_word, license, dice): the passages of each
+    text, words counted from 0."""
+    low, high = least / (2 - least), (2 - least) / least
+    known, longest, fewest, rows = set(), 1, 1 << 30, []
+    for name, body in templates:
+        pairs = [" ".join(p) for p in _python_pairs(body)]
+        own = sorted(set(pairs))
+        if own:
+            need, span = math.ceil(low * len(own) - 1e-9), math.floor(high * len(pairs) + 1e-9)
+            known, longest, fewest = known | set(own), max(longest, span), min(fewest, need)
+            rows.append(F.struct(F.lit(name).alias("license"), F.array(*map(F.lit, own)).alias("set"),
+                                 F.lit(need).alias("need"), F.lit(span).alias("span")))
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("body"))
+    text = text.select("doc_id", F.xxhash64("body").alias("mark"), _pairs(F.col("body")).alias("seq"))
+
+    # Each step explodes what it found, so that no array is made twice. A chunk
+    # holds the whole of every passage that begins in its first ``chunk`` words.
+    def cut(at: Column) -> Column:
+        part = F.slice("seq", at + 1, chunk + longest)
+        hits = F.filter(part, lambda x: x.isin(sorted(known)))
+        return F.struct(at.alias("at"), part.alias("part"), F.array_distinct(hits).alias("hits"))
+
+    begins = F.sequence(F.lit(0), F.greatest(F.size("seq") - 1, F.lit(0)), F.lit(chunk))
+    chunks = text.select("doc_id", "mark", F.explode(F.transform(begins, cut)).alias("c")).select("doc_id", "mark", "c.*")
+    able = F.filter(F.array(*rows), lambda t: F.size(F.array_intersect(t["set"], F.col("hits"))) >= t["need"])
+    close = chunks.where(F.size("hits") >= fewest).select("doc_id", "mark", "at", "part", F.explode(able).alias("t"))
+
+    # a beginning is a hit, and enough hits lie within the span from there
+    places = F.transform(F.filter(F.transform("part", lambda x, i: F.struct(i.alias("i"), x.alias("x"))),
+                                  lambda s: s["x"].isin(sorted(known)) & F.array_contains(F.col("t.set"), s["x"])),
+                         lambda s: s["i"])
+    ahead = F.zip_with(places, F.slice(places, F.col("t.need"), F.size("part")),
+                       lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+    ahead = F.filter(ahead, lambda s: (s["q"] - s["p"] < F.col("t.span")) & (s["p"] < chunk))
+    runs = F.transform(ahead, lambda s: F.struct(s["p"].alias("p"), F.slice("part", s["p"] + 1, F.col("t.span")).alias("run")))
+    runs = close.select("doc_id", "mark", "at", "t", F.explode(runs).alias("r"))
+
+    # Up to the e-th distinct hit, the i-th distinct bigram, |A| is i and |A n B| is e.
+    hits = F.filter(F.transform(F.array_distinct("r.run"), lambda x, i: F.struct((i + 1).alias("i"), x.alias("x"))),
+                    lambda s: F.array_contains(F.col("t.set"), s["x"]))
+    ends = F.transform(hits, lambda s, e: F.struct((-2.0 * (e + 1) / (s["i"] + F.size("t.set"))).alias("worst"),
+                                                   s["i"].alias("i"), s["x"].alias("x")))
+    best = runs.select("doc_id", "mark", "at", "t.license", "r.p", "r.run", F.explode(F.array(F.array_min(ends))).alias("b"))
+    first = F.col("at") + F.col("p")
+    found = best.where(F.col("b.worst") <= -least + 1e-9).select("doc_id", "mark", F.struct(
+        F.col("b.worst").alias("worst"), "license", first.alias("first"),
+        (first + F.array_position("run", F.col("b.x")).cast("int")).alias("last")).alias("f"))
+
+    every = found.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set("f")).alias("every"))
+    apart = F.aggregate("every", F.slice("every", 1, 0), lambda kept, x: F.when(
+        F.exists(kept, lambda y: (y["first"] <= x["last"]) & (x["first"] <= y["last"])), kept)
+        .otherwise(F.concat(kept, F.array(x))))
+    return every.select("doc_id", F.explode(apart).alias("f")).select(
+        "doc_id", F.col("f.first").alias("first_word"), F.col("f.last").alias("last_word"), "f.license",
+        (-F.col("f.worst")).alias("dice"))
+
+
+def _python_pairs(text: str) -> list[tuple[str, str]]:
     words = "".join(c if c.isascii() and c.isalnum() else " " for c in text).lower().split()
-    return set(zip(words, words[1:]))
+    return list(zip(words, words[1:]))
+
+
+def _python_bigrams(text: str) -> set[tuple[str, str]]:
+    return set(_python_pairs(text))

@@ -40,6 +40,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(_docs(spark, sf_dir))
 
 
+def op3_license_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_passages(_docs(spark, sf_dir))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
@@ -74,6 +78,7 @@ def queries() -> dict[str, Query]:
         "op1_sentence_pieces": op1_sentence_pieces,
         "op2_token_counts": op2_token_counts,
         "op3_license_scan": op3_license_scan,
+        "op3_license_passages": op3_license_passages,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_toxicity": op5_toxicity,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
