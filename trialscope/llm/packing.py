@@ -3,8 +3,11 @@
 Every partition cuts its documents into pieces and packs them best-fit,
 longest first. Nearly full sequences are finished. The others go on as items:
 each round gathers the open sequences of several tasks into one and packs them
-best-fit again, until one task has seen all that is left or a round finds
-nothing to join. Rounds move only (sequence, length) pairs.
+best-fit again, until one task has seen all that can still join. Two sequences
+that are more than half full never join, and a task leaves at most one that is
+not; so where too many are open for one task, only those go on which the
+shortest one still fits, and of each length as many as there are such small
+ones. Rounds move only (sequence, length) pairs.
 
 Defined results: a null or empty text is the end id alone; rows with equal
 doc_id are packed apart and keep equal (doc_id, piece); an empty table gives
@@ -106,6 +109,21 @@ def _merger(capacity: int):
     return merge
 
 
+def _at_most(times: int, capacity: int):
+    """All small items, and of each larger fill at most ``times`` a partition."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(capacity + 1, np.int64)
+        for b in batches:
+            fill = b.column("fill").to_numpy()
+            order = np.argsort(fill, kind="stable")
+            ranked = fill[order]
+            nth = np.empty(len(fill), np.int64)
+            nth[order] = np.arange(len(fill)) - np.searchsorted(ranked, ranked) + seen[ranked]
+            seen += np.bincount(fill, minlength=capacity + 1)
+            yield b.filter(pa.array((2 * fill <= capacity) | (nth < times)))
+    return keep
+
+
 def merge_rounds(first: DataFrame, capacity: int = CAPACITY, full_slack: int = FULL_SLACK,
                  fan_in: int = FAN_IN, round_items: int = ROUND_ITEMS) -> DataFrame:
     """(bin, root, shift) for every sequence of ``first`` (bin, fill): the
@@ -115,11 +133,17 @@ def merge_rounds(first: DataFrame, capacity: int = CAPACITY, full_slack: int = F
     # root ids: (round << 56) | bin, so that rounds cannot clash
     where = first.select("bin", F.col("bin").alias("root"), F.lit(0).cast("long").alias("shift"), "fill")
     left = first.where(F.col("fill") < capacity - full_slack).select(F.col("bin").alias("item"), "fill")
-    n = left.count()
     for k in range(1, 64):
-        if n < 2:
+        n, small, least = left.agg(F.count("*"), F.count_if(2 * F.col("fill") <= capacity), F.min("fill")).first()
+        if n < 2 or not small:
             break
-        tasks = max(-(-tasks // fan_in), -(-n // round_items))
+        wanted = -(-n // round_items)
+        if wanted > 1:
+            # each join uses up a small one, so more of one fill are never needed, now or later
+            left = left.where(F.col("fill") <= capacity - least).repartitionByRange(wanted, "fill", "item")
+            left = shared.stored(left.mapInArrow(_at_most(small, capacity), left.schema), f"pack-able-{k}")
+            wanted = -(-left.count() // max(round_items, 2 * capacity))
+        tasks = max(-(-tasks // fan_in), wanted)
         moves = shared.stored(left.repartition(tasks).mapInArrow(_merger(capacity), MOVES), f"pack-{k}")
         moves = moves.withColumn("bin", F.col("bin") + F.lit(k << 56))
         where = shared.stored(
@@ -129,10 +153,8 @@ def merge_rounds(first: DataFrame, capacity: int = CAPACITY, full_slack: int = F
                     F.coalesce("m.fill", "w.fill").alias("fill")), f"pack-at-{k}")
         left = moves.where((F.col("shift") == 0) & (F.col("fill") < capacity - full_slack)).select(
             F.col("bin").alias("item"), "fill")
-        bins = moves.where(F.col("shift") == 0).count()
-        if tasks == 1 or bins > 0.999 * n:
+        if tasks == 1:
             break
-        n = left.count()
     return where.select("bin", "root", "shift")
 
 
