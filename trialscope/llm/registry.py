@@ -33,7 +33,7 @@ def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = token_counts.encoded_lengths(_docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
-    return token_counts.context_limits(token_counts.length_histogram(lengths))
+    return token_counts.token_counts(token_counts.length_histogram(lengths))
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
