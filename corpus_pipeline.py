@@ -46,7 +46,7 @@ def simhash_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents as pieces in sequences of at most 2048 tokens."""
     shared.on_workers(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), special=True)
 
 
 STAGES = [

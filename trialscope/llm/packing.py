@@ -76,11 +76,11 @@ def _cut(length: int, capacity: int) -> list[int]:
     return ([first] if first else []) + [capacity] * (length // capacity)
 
 
-def _packer(tokenizer: str, end_id: int, capacity: int):
+def _packer(tokenizer: str, end_id: int, capacity: int, special: bool):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for part in shared.text_slices(batches):
-            offsets, ids = with_end(*encoder(tokenizer).encode(part.column("text")), end_id)
+            offsets, ids = with_end(*encoder(tokenizer, special).encode(part.column("text")), end_id)
             raw = memoryview(ids.astype("<u4").tobytes())
             for doc_id, a, b in zip(part.column("doc_id").to_pylist(), offsets.tolist(), offsets[1:].tolist()):
                 start = 0
@@ -158,9 +158,10 @@ def merge_rounds(first: DataFrame, capacity: int = CAPACITY, full_slack: int = F
     return where.select("bin", "root", "shift")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY,
+                   special: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset)."""
-    pieces = shared.stored(shared.id_text(docs).mapInArrow(_packer(tokenizer, end_id, capacity), PIECES),
+    pieces = shared.stored(shared.id_text(docs).mapInArrow(_packer(tokenizer, end_id, capacity, special), PIECES),
                            "pack-pieces")
     # a sequence is present once, as the piece at its start
     bins = pieces.where(F.col("place") == 0).select("bin", "fill")

@@ -32,7 +32,7 @@ def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lengths = token_counts.encoded_lengths(_docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
+    lengths = token_counts.encoded_lengths(_docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE), special=True)
     return token_counts.token_counts(token_counts.length_histogram(lengths))
 
 
@@ -45,7 +45,7 @@ def op3_license_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
+    return packing.pack_documents(_docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE), special=True)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,18 +26,18 @@ QUANTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 1.0)
 SPAN = 1024  # lengths of one block; suffix sums run inside a block, then over blocks
 
 
-def _lengths(tokenizer: str):
+def _lengths(tokenizer: str, special: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in shared.text_slices(batches):
-            offsets, _ = encoder(tokenizer).encode(part.column("text"))
+            offsets, _ = encoder(tokenizer, special).encode(part.column("text"))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(offsets))],
                                              names=["doc_id", "n_tokens"])
     return run
 
 
-def encoded_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
+def encoded_lengths(docs: DataFrame, tokenizer: str, special: bool = False) -> DataFrame:
     """(doc_id, n_tokens) of every row."""
-    return shared.id_text(docs).mapInArrow(_lengths(tokenizer), "doc_id long, n_tokens long")
+    return shared.id_text(docs).mapInArrow(_lengths(tokenizer, special), "doc_id long, n_tokens long")
 
 
 def length_histogram(lengths: DataFrame) -> DataFrame:

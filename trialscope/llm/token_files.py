@@ -157,7 +157,7 @@ class TokenFileReader:
             place += n
 
 
-def _writer(root: str, tokenizer: str, end_id: int, file_ids: int):
+def _writer(root: str, tokenizer: str, end_id: int, file_ids: int, special: bool):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, out, rows = TaskContext.get().partitionId(), 0, None, []
 
@@ -168,7 +168,7 @@ def _writer(root: str, tokenizer: str, end_id: int, file_ids: int):
             out, seq = None, seq + 1
 
         for piece in shared.text_slices(batches, min(shared.SLICE_BYTES, 4 * file_ids)):
-            offsets, ids = with_end(*encoder(tokenizer).encode(piece.column("text")), end_id)
+            offsets, ids = with_end(*encoder(tokenizer, special).encode(piece.column("text")), end_id)
             if out is None:
                 name = f"{root}/part-{part:06d}-{seq:05d}.ids"
                 out = TokenFileWriter(name)
@@ -188,14 +188,14 @@ def _writer(root: str, tokenizer: str, end_id: int, file_ids: int):
 
 
 def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int = 0,
-                      file_ids: int = FILE_IDS) -> DataFrame:
+                      file_ids: int = FILE_IDS, special: bool = False) -> DataFrame:
     """Write the documents' ids in ascending doc_id order below ``root``.
 
     Returns the manifest, one row per file, itself written beside the files.
     """
     rows = (shared.id_text(docs).repartitionByRange("doc_id")
             .sortWithinPartitions("doc_id", "text"))
-    manifest = rows.mapInArrow(_writer(root, tokenizer, end_id, file_ids), MANIFEST)
+    manifest = rows.mapInArrow(_writer(root, tokenizer, end_id, file_ids, special), MANIFEST)
     manifest.write.parquet(f"{root}/manifest")
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{root}/manifest")
 
@@ -252,4 +252,4 @@ def token_file_digest(manifest: DataFrame) -> DataFrame:
 
 def op9(spark: SparkSession, docs: DataFrame, tokenizer: str) -> DataFrame:
     root = shared.scratch(spark, "token-files")
-    return token_file_digest(write_token_files(docs, root, tokenizer))
+    return token_file_digest(write_token_files(docs, root, tokenizer, special=True))

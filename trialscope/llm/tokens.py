@@ -5,7 +5,8 @@ pre-tokenizer always has a boundary there and looks ahead only, so the ids of
 a text are the ids of its chunks in order. Equal chunks are found in Arrow and
 encoded once per worker (a bounded memo); the ids of all texts are then
 gathered with numpy. Texts for which the cut is not safe (white space before a
-space, the marker character) are encoded whole by the library.
+space, the marker character, an added token where it counts as one) are
+encoded whole by the library.
 """
 
 from __future__ import annotations
@@ -73,11 +74,13 @@ class _Memo:
 
 class TextEncoder:
     """``encode(texts)`` -> (offsets, ids): ids of text i are
-    ``ids[offsets[i]:offsets[i + 1]]``; special tokens in a text are text."""
+    ``ids[offsets[i]:offsets[i + 1]]``. A special token that stands in a text
+    is text, or with ``special`` its own id, as the library has it by default."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not special
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values() if special or not t.special]
         self.alphabet = _byte_alphabet()
         self.chunks, self.pieces = _Memo(), _Memo()
 
@@ -159,6 +162,8 @@ class TextEncoder:
         ends = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
         ends -= ends[0]
         unsafe = pc.match_substring(texts, START).to_numpy(zero_copy_only=False).copy()
+        for token in self.added:
+            unsafe |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
         text_of = None
         if (n == UNSAFE).any():
             text_of = np.repeat(np.arange(n_texts), np.diff(ends))
@@ -182,9 +187,9 @@ class TextEncoder:
 
 
 @functools.lru_cache(maxsize=1)
-def encoder(path: str) -> TextEncoder:
+def encoder(path: str, special: bool = False) -> TextEncoder:
     """One encoder for each worker process and vocabulary file."""
-    return TextEncoder(path)
+    return TextEncoder(path, special)
 
 
 def with_end(offsets: np.ndarray, ids: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
