@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import (exact_dedup, licenses, oracles, packing, quality_gam, quality_rules, sentence_pieces, shared,
-               simhash, token_counts, token_files, toxicity)
+from . import (centroids, exact_dedup, licenses, merkle, oracles, packing, quality_gam, quality_rules,
+               sentence_pieces, shared, simhash, superminhash, token_counts, token_files, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 BYTE_BPE = "byte_bpe_50k.json"
@@ -72,6 +72,19 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op9(spark, _docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared.on_workers(spark)
+    return centroids.clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_proofs(_docs(spark, sf_dir))
+
+
+def op13_superminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(_docs(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -86,6 +99,9 @@ def queries() -> dict[str, Query]:
         "op8_quality_classifier": op8_quality_classifier,
         "op9_token_files": op9_token_files,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_centroid_clusters": op11_centroid_clusters,
+        "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_superminhash_near_dedup": op13_superminhash_near_dedup,
     }
 
 
@@ -93,6 +109,9 @@ def oracle_sql() -> dict[str, str]:
     out = {
         "op3_license_scan": oracles.license_scan(licenses.TEMPLATES, licenses.LEAST),
         "op10_exact_dedup": oracles.EXACT_DUPLICATES,
+        "op11_centroid_clusters": oracles.centroid_clusters(centroids.CENTROIDS, centroids.ROUNDS, centroids.SALT),
+        "op12_merkle_manifest": oracles.merkle_manifest(merkle.FAN),
+        "op13_superminhash_near_dedup": oracles.shingle_duplicates(superminhash.LEAST),
     }
     if corpus_pipeline.ORACLE_SQL:
         out["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -67,6 +67,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that its operator wrote and nobody reads any more."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES
                 ) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches with a ``text`` column so that a slice has at most
