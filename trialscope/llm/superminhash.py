@@ -9,8 +9,9 @@ level over a whole batch: after level j every value below j + 1 is final, and
 a document whose components are all filled stops early.
 
 Equal sets are one node. Bands of a node's signature are keys; the nodes of a
-key are first compared with its smallest node (its hub), which joins most
-copies in as many comparisons as there are nodes. What is left are the pairs
+key are first compared with its hub, the node that meets most others under all
+its keys (in a group of copies the one in the middle), which joins the copies
+in as many comparisons as there are nodes. What is left are the pairs
 under one key whose components still differ: those with no node on the hub's
 side of the graph are compared with all others, in blocks, so no true link
 among the nodes of a key is lost and no group forms all its pairs. Every pair
@@ -44,7 +45,7 @@ WIDTH = 4
 LEAST = 80               # percent of the union
 BANDS, ROWS = 36, 6
 BLOCK = 1024             # nodes of a key on one side of a comparison step
-STEP, SETS = 1 << 17, 4096  # elements and sets of a batch that are ranked together
+STEP, SETS = 1 << 16, 2048  # elements and sets of a batch that are ranked together
 ASKED = 1 << 18          # doc_ids that may be broadcast; more are shuffled
 FOREST = 1 << 20         # nodes of a task's union-find
 EMPTY = np.uint64((1 << 64) - 1)
@@ -262,10 +263,22 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int =
 
 # --- candidates -------------------------------------------------------------------
 
-def hub_pairs(keys: DataFrame, hubs: DataFrame) -> DataFrame:
-    """(x, y): each node with the smallest node of every key it has."""
-    return shared.stored(keys.join(hubs, "key").where("node <> hub")
-                         .select(F.col("hub").alias("x"), F.col("node").alias("y")).distinct(), "pairs")
+def members(keys: DataFrame) -> DataFrame:
+    """(key, node, n, hub): the nodes of keys that several have. A key's hub
+    meets most others under all its keys; of several, the smallest node."""
+    many = keys.groupBy("key").agg(F.count("*").alias("many")).where("many > 1")
+    rows = shared.stored(keys.join(many, "key"), "members")
+    meets = rows.groupBy("node").agg(F.sum(F.col("many") - 1).alias("meets"))
+    rows = shared.stored(rows.join(meets, "node").select("key", "node", "n", "meets"), "members")
+    most = rows.groupBy("key").agg(F.max("meets").alias("meets"))
+    hubs = rows.join(most, ["key", "meets"]).groupBy("key").agg(F.min("node").alias("hub"))
+    return shared.stored(rows.join(hubs, "key").select("key", "node", "n", "hub"), "members")
+
+
+def hub_pairs(rows: DataFrame) -> DataFrame:
+    """(x, y): each node with the hub of every key it has."""
+    ends = F.least("hub", "node").alias("x"), F.greatest("hub", "node").alias("y")
+    return shared.stored(rows.where("node <> hub").select(*ends).distinct(), "pairs")
 
 
 def _rest_pairs(least: int):
@@ -300,17 +313,16 @@ def _rest_pairs(least: int):
     return run
 
 
-def rest_pairs(keys: DataFrame, hubs: DataFrame, nodes: DataFrame, labels: DataFrame, least: int = LEAST) -> DataFrame:
+def rest_pairs(rows: DataFrame, nodes: DataFrame, labels: DataFrame, least: int = LEAST) -> DataFrame:
     """(x, y): the pairs under one key that the hubs leave open, all of them:
     labels differ, neither is the hub, at least one is outside the hub's
     component (``core`` are the nodes inside). A key with many nodes is dealt
     into parts of about ``BLOCK``; a step compares two parts, never two of the
     core."""
-    label = lambda c: F.coalesce("label", c)
-    hubs = (hubs.where("many > 2").join(labels.withColumnRenamed("node", "hub"), "hub", "left")
-            .select("key", "hub", label("hub").alias("hub_label")))
-    rows = (keys.join(labels, "node", "left").select("key", "node", "n", label("node").alias("label"))
-            .join(hubs, "key").where("node <> hub").withColumn("core", F.expr("label = hub_label")))
+    own, hubs = labels.select("node", "label"), labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
+    rows = (rows.where("node <> hub").join(own, "node", "left").join(hubs, "hub", "left")
+            .withColumn("label", F.coalesce("label", "node"))
+            .withColumn("core", F.col("label") == F.coalesce("hub_label", "hub")))
     count = rows.groupBy("key").agg(F.count_if("core").alias("inside"), F.count_if(~F.col("core")).alias("outside"))
     count = count.where("outside > 0 AND inside + outside > 1").select(
         "key", F.ceil(F.col("inside") / BLOCK).cast("int").alias("cores"),
@@ -334,16 +346,14 @@ def rest_pairs(keys: DataFrame, hubs: DataFrame, nodes: DataFrame, labels: DataF
 # --- the operator -------------------------------------------------------------------
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, least: int = LEAST, bands: int = BANDS,
-                    rows: int = ROWS) -> DataFrame:
+                    per_band: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
-    every = shared.stored(marked(docs, width, bands, rows), "superminhash")
+    every = shared.stored(marked(docs, width, bands, per_band), "superminhash")
     nodes = distinct_sets(every)
-    keys = keyed(nodes)
-    hubs = shared.stored(keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("many"))
-                         .where("many > 1"), "hubs")
-    links = confirmed(hub_pairs(keys, hubs), nodes, docs, width, least)
+    rows = members(keyed(nodes))
+    links = confirmed(hub_pairs(rows), nodes, docs, width, least)
     labels = shared.stored(connected_components(links).withColumnRenamed("root", "label"), "labels")
-    more = confirmed(rest_pairs(keys, hubs, nodes, labels, least), nodes, docs, width, least)
+    more = confirmed(rest_pairs(rows, nodes, labels, least), nodes, docs, width, least)
     if not more.isEmpty():
         labels = connected_components(links.union(more)).withColumnRenamed("root", "label")
     named = nodes.join(labels, "node", "left").select("set_id", "least", F.coalesce("label", "node").alias("label"))
