@@ -236,7 +236,8 @@ class Manifest:
 def build(docs: DataFrame) -> Manifest:
     """The manifest of ``docs``; its tables stay in the shared folder."""
     spark = docs.sparkSession
-    rows = placed(leaves(docs), ["tree", "doc_id", "leaf"], F.col("tree"))
+    # written first: the range sort reads its rows twice, the texts are read once
+    rows = placed(shared.stored(leaves(docs), "leaves"), ["tree", "doc_id", "leaf"], F.col("tree"))
     tiers, subroots = _tiers(rows.withColumnRenamed("leaf", "digest"), "doc_id", "changed")
     named = placed(subroots.withColumnRenamed("tree", "name"), ["name"], F.lit("")).withColumn("tree", F.lit(""))
     top, roots = _tiers(named, "name")
