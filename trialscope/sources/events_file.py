@@ -13,11 +13,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..schemas import EVENT_COLUMNS, EVENTS, require_columns
-
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"',
-               "mode": "FAILFAST", "ignoreLeadingWhiteSpace": "false",
-               "ignoreTrailingWhiteSpace": "false"}
-
+from .csv_records import read_csv_records
 
 def _typed(df: DataFrame) -> DataFrame:
     out = []
@@ -39,7 +35,7 @@ def _typed(df: DataFrame) -> DataFrame:
 def read_events_csv(spark: SparkSession, path: str, pandas_nulls: bool = True) -> DataFrame:
     """Event table from CSV with a header row (RFC 4180 quoting, multi-line
     fields). Fails, naming the missing columns, if any is absent."""
-    raw = spark.read.options(**CSV_OPTIONS).csv(path)  # all columns as text
+    raw = read_csv_records(spark, path)  # all columns as text, in parallel
     require_columns(raw, EVENT_COLUMNS, "CSV")
     if pandas_nulls:
         tokens = list(C.PANDAS_NA_TOKENS)
