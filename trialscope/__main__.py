@@ -23,8 +23,10 @@ def parse_args(argv):
     p.add_argument("--format", default="parquet", help="file format of --tables (parquet, csv, orc, ...)")
     p.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
                    help="reader option of --format; csv reads a header, quotes and multi-line fields by default")
+    p.add_argument("--snapshot", default=None, help="read only this partition of tables kept by snapshot")
     p.add_argument("--jdbc-schema", default=None)
     p.add_argument("--jdbc-bounds", default="", help="comma list of nct_id split points for parallel reads")
+    p.add_argument("--jdbc-parts", type=int, default=0, help="derive the split points: ranges of about equal size")
     p.add_argument("--jdbc-one-connection", action="store_true", help="read each table in one task")
     p.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     p.add_argument("--asof", default=None, help="YYYY-MM-DD; default: today in the session time zone")
@@ -46,17 +48,19 @@ def main(argv=None, spark=None) -> dict:
     from pyspark.sql import SparkSession
 
     from .plans.reports import TrialReports
-    from .sources import read_jdbc_tables, read_tables
+    from .sources import jdbc_bounds, read_jdbc_tables, read_tables
 
     a = parse_args(sys.argv[1:] if argv is None else argv)
     spark = spark or SparkSession.builder.appName("trialscope").getOrCreate()
     if a.tables:
         tables = read_tables(spark, a.tables, fmt=a.format,
-                             options=dict(o.split("=", 1) for o in a.option))
+                             options=dict(o.split("=", 1) for o in a.option), snapshot=a.snapshot)
     else:
         props = {"user": os.environ.get("TRIALSCOPE_JDBC_USER", ""),
                  "password": os.environ.get("TRIALSCOPE_JDBC_PASSWORD", "")}
         bounds = [b.strip() for b in a.jdbc_bounds.split(",") if b.strip()]
+        if a.jdbc_parts and not bounds:
+            bounds = jdbc_bounds(spark, a.jdbc_url, props, a.jdbc_parts, a.jdbc_schema)
         tables = read_jdbc_tables(spark, a.jdbc_url, props, a.jdbc_schema, bounds,
                                   one_connection=a.jdbc_one_connection)
     rep = TrialReports.from_tables(tables, asof=a.asof, timeline_months=a.timeline_months,

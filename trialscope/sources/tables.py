@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from .csv_records import read_csv_records
 
 TABLE_NAMES = tuple(schemas.INPUTS)
 
@@ -31,9 +32,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(want)
 
 
-# A CSV registry has a header row, RFC 4180 quotes and titles of several lines.
-DEFAULT_OPTIONS = {"csv": {"header": "true", "quote": '"', "escape": '"', "multiLine": "true",
-                           "mode": "FAILFAST", "enforceSchema": "false"}}
+# With reader options of the caller (another delimiter, an encoding) CSV goes
+# through Spark's source, which gives a file to one task.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "mode": "FAILFAST",
+               "enforceSchema": "false"}
 
 
 def _entry(spark: SparkSession, folder: str, name: str, fmt: str) -> str:
@@ -62,10 +64,12 @@ def read_tables(spark: SparkSession, paths: str | Mapping[str, str],
             path = _entry(spark, paths.rstrip("/"), name, fmt)
         else:
             path = paths[name]
-        reader = spark.read.format(fmt).options(**{**DEFAULT_OPTIONS.get(fmt, {}), **(options or {})})
-        if fmt != "parquet":
-            reader = reader.schema(schemas.INPUTS[name])
-        df = reader.load(path)
+        if fmt == "csv" and not options and snapshot is None:
+            # a CSV registry: header row, RFC 4180 quotes, titles of several lines
+            df = read_csv_records(spark, path, schemas.INPUTS[name])
+        else:
+            reader = spark.read.format(fmt).options(**{**(CSV_OPTIONS if fmt == "csv" else {}), **(options or {})})
+            df = (reader if fmt == "parquet" else reader.schema(schemas.INPUTS[name])).load(path)
         if snapshot is not None:
             df = df.where(F.col(snapshot_column) == F.lit(snapshot))
         out[name] = schemas.conform(df, schemas.INPUTS[name])
@@ -99,6 +103,31 @@ def nct_id_predicates(bounds: Sequence[str], column: str = "nct_id") -> list[str
     return preds
 
 
+def equi_depth_bounds(ids: DataFrame, parts: int, column: str = "nct_id", per_part: int = 256) -> list[str]:
+    """Split points for `nct_id_predicates`, so that `parts` ranges hold about
+    equally many rows of `ids`, however the ids are distributed.
+
+    They are quantiles of a bottom-k sketch: the `parts * per_part` rows with
+    the least hash of (id, row number), a uniform sample of the rows found by
+    a per-task top-k. A split point is cut before the first character that is
+    no digit or capital, and equal ones are one, so fewer may come back; an id
+    with more rows than a range should have cannot be split.
+    """
+    k = parts * per_part
+    draw = F.xxhash64(F.col(column), F.monotonically_increasing_id())
+    rows = ids.where(F.col(column).isNotNull()).select(column).orderBy(draw).limit(k).collect()  # parts x per_part ids
+    found = sorted(r[0] for r in rows)
+    cuts = (re.match("[0-9A-Z]*", found[len(found) * i // parts]).group() for i in range(1, parts)) if found else ()
+    return sorted({c for c in cuts if c})
+
+
+def jdbc_bounds(spark: SparkSession, url: str, properties: Mapping[str, str], parts: int,
+                schema_name: str | None = None, table: str = "studies") -> list[str]:
+    """`equi_depth_bounds` of a database table; only the id column is asked for."""
+    name = f"{schema_name}.{table}" if schema_name else table
+    return equi_depth_bounds(spark.read.jdbc(url, name, properties=dict(properties)).select("nct_id"), parts)
+
+
 def read_jdbc_tables(spark: SparkSession, url: str, properties: Mapping[str, str],
                      schema_name: str | None = None, bounds: Sequence[str] = (),
                      fetchsize: int = 10000, one_connection: bool = False) -> dict[str, DataFrame]:
@@ -108,8 +137,8 @@ def read_jdbc_tables(spark: SparkSession, url: str, properties: Mapping[str, str
     With `bounds`, each table is read as len(bounds) + 2 parallel range
     queries on nct_id (a text key cannot be a numeric partition column).
     Spark pushes the reports' filters and column lists into each query.
-    Without bounds a table is one task; that must be asked for with
-    `one_connection`.
+    `jdbc_bounds` derives them. Without bounds a table is one task; that must
+    be asked for with `one_connection`.
     """
     if not bounds and not one_connection:
         raise ValueError("give nct_id bounds for parallel reads, or one_connection=True for a small registry")
@@ -135,4 +164,5 @@ def run_sql(spark: SparkSession, tables: Mapping[str, DataFrame], text: str, **a
     Named parameters (`:name` in the text) are bound by Spark, not pasted into
     the text.
     """
-    return spark.sql(text, args=args or None, **tables)
+    used = {name: tables[name] for name in tables if f"{{{name}}}" in text}
+    return spark.sql(text, args=args or None, **used)
