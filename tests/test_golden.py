@@ -47,8 +47,8 @@ def test_union_strategy_equals_explode(t, events):
 
 
 def test_ranked_events(events):
-    from trialscope.operators.events import event_order_columns
-    ranked = O.global_rank(events, event_order_columns()).orderBy("rk").collect()
+    from trialscope.operators.events import event_order_keys
+    ranked = O.global_rank(events, event_order_keys()).orderBy("rk").collect()
     assert [r.rk for r in ranked] == list(range(1, 7))
     assert [(r.nct_id, r.event_type) for r in ranked] == [(e[3], e[1]) for e in G.EVENTS]
 
@@ -179,6 +179,52 @@ def test_sponsor_filter(events):
     assert O.chart_view(events, ["Unknown"]).count() == 1
 
 
+def _event(day, kind, nct, sponsor="S", types=None, phase="Phase 1", status="RECRUITING"):
+    import datetime as dt
+    return (dt.date(2025, 1, day) if day else None, kind, nct, sponsor, types, phase, status)
+
+
+def _event_table(spark, rows):
+    return spark.createDataFrame(rows, "event_date date, event_type string, nct_id string, lead_sponsor string, "
+                                       "intervention_types string, phase_std string, status string").repartition(5)
+
+
+def test_chart_ties_follow_first_appearance(spark):
+    """Equal counts: day, then kind, then study id, then place in the list."""
+    ev = _event_table(spark, [
+        _event(3, "START", "N9", "late"), _event(2, "COMPLETION", "N1", "kind"), _event(2, "START", "N5", "id5"),
+        _event(2, "START", "N4", "id4"), _event(2, "START", "N4", "id4b"), _event(1, "COMPLETION", "N8", "early")])
+    got = [r.sponsor for r in O.top_sponsor_phase(ev, 50).select("sponsor", "rk").distinct().orderBy("rk").collect()]
+    assert got[0] == "early" and set(got[1:3]) == {"id4", "id4b"} and got[3:] == ["id5", "kind", "late"]
+    for n in range(1, 7):  # the cut falls into the ties
+        cut = O.top_sponsor_phase(ev, n).select("sponsor", "rk").distinct().orderBy("rk").collect()
+        assert [r.rk for r in cut] == list(range(1, n + 1)) and cut[0].sponsor == "early"
+        assert {r.sponsor for r in cut} <= set(got[:max(n, 3)])
+    types = _event_table(spark, [_event(2, "START", "N2", types="C, A,B"), _event(2, "START", "N1", types="Z,A ,, Y"),
+                                 _event(1, "START", "N7", types=" , ")])
+    got = [r.intervention_type for r in O.top_intervention_types(types, 20).orderBy("rk").collect()]
+    assert got == ["A", "Z", "Y", "C", "B"]
+    other = _event_table(spark, [_event(2, "START", "N2", status="ODD"), _event(2, "START", "N1", status="STRANGE"),
+                                 _event(9, "START", "N3", status="COMPLETED"), _event(None, "START", "N4", status="NEW")])
+    assert [r.status for r in O.events_by_status(other).orderBy("rk").collect()] == ["COMPLETED", "NEW", "STRANGE", "ODD"]
+
+
+def test_a_selection_counts_only_known_sponsors(spark):
+    ev = _event_table(spark, [_event(1, "START", "N1", "A", "X"), _event(1, "START", "N2", "B", "Y"),
+                              _event(1, "START", "N3", "C", None)])
+    pick = lambda s: {r.intervention_type for r in O.top_intervention_types(ev, 9, s).collect()}
+    assert pick("B, nobody") == {"Y"} and pick("nobody") == {"X", "Y"} and pick("C") == set() and pick(None) == {"X", "Y"}
+    assert {r.sponsor for r in O.top_sponsor_phase(ev, 9, ["B", "C"]).collect()} == {"B", "C"}
+    assert O.events_by_phase(ev, "nobody").first().n == 3 and O.events_by_phase(ev, "A").first().n == 1
+
+
+def test_sponsor_list_orders_case_and_accents(spark):
+    names = ["Zentrum", "zentrum", "z\u00e9ntrum", "Z\u00e9ntrum", "\u00c9cole", "eclair", "Eclair", "apple", "Apple"]
+    ev = spark.createDataFrame([(n,) for n in names], "lead_sponsor string")
+    assert [r.sponsor for r in O.sorted_sponsor_list(ev).collect()] == [
+        "apple", "Apple", "eclair", "Eclair", "\u00c9cole", "zentrum", "Zentrum", "z\u00e9ntrum", "Z\u00e9ntrum"]
+
+
 def test_sponsor_list_locale_order(spark):
     ev = spark.createDataFrame([(n,) for n in ["b", "A", "a", None, "  "]], "lead_sponsor string")
     assert [r.sponsor for r in O.sorted_sponsor_list(ev).collect()] == ["a", "A", "b", "Unknown"]
@@ -235,7 +281,7 @@ def test_empty_window_and_empty_tables(spark, t):
     assert ev.count() == 0
     for df in (O.top_sponsor_phase(ev, 12), O.top_sponsor_phase(ev, 12, "Acme"),
                O.events_by_phase(ev), O.top_intervention_types(ev), O.sponsor_list(ev),
-               O.global_rank(ev, O.events.event_order_columns())):
+               O.global_rank(ev, O.events.event_order_keys())):
         assert df.count() == 0
     tl = O.upcoming_timeline(t["studies"], far, 3).collect()
     assert len(tl) == 4 and all(sum(r[1:]) == 0 for r in tl)

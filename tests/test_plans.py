@@ -4,6 +4,7 @@ map-side before shuffling, and nothing large is funnelled into one task."""
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from trialscope import operators as O
 from trialscope.sources import read_tables
@@ -85,13 +86,104 @@ def test_phase_reports_scan_the_studies_once(files):
         assert "Scan parquet" not in plan(df)
 
 
-def test_top_sponsors_read_the_events_once(spark, tmp_path):
+@pytest.fixture()
+def written_events(spark, tmp_path):
     from trialscope.sources import read_events_parquet
     t = G.tables(spark)
     path = str(tmp_path / "ev")
     O.upcoming_events(t["studies"], t["sponsors"], t["interventions"], t["conditions"], G.ASOF, 3).write.parquet(path)
-    p = plan(O.top_sponsor_phase(read_events_parquet(spark, path), 12))
-    assert p.split("\n\n")[0].count("Scan parquet") == 1
+    return read_events_parquet(spark, path)
+
+
+CHARTS = {
+    "sponsors": lambda ev, s: O.top_sponsor_phase(ev, 12, s),
+    "phases": O.events_by_phase,
+    "statuses": O.events_by_status,
+    "types": lambda ev, s: O.top_intervention_types(ev, 20, s),
+}
+
+
+@pytest.mark.parametrize("sponsors", [None, "Acme, Nobody"])
+@pytest.mark.parametrize("name", CHARTS)
+def test_charts_count_by_hash_and_break_ties_in_a_narrow_pass(spark, written_events, name, sponsors):
+    """One hash aggregation over the events; ids are read in a second pass
+    that joins the keys which can still win, without the counted columns."""
+    df, jobs = jobs_started(spark, lambda: CHARTS[name](written_events, sponsors))
+    assert jobs == 0  # also for a sponsor selection
+    p = plan(df)
+    assert "SortAggregate" not in p and "ObjectHashAggregate" not in p and "HashAggregate" in p
+    main = p.split("\n\n")[0]
+    assert main.count("Scan parquet") <= 3
+    ties = [ln for ln in p.splitlines() if ln.startswith("ReadSchema") and "nct_id" in ln]
+    assert ties and not any("title" in ln or "conditions" in ln for ln in ties)
+    if name == "sponsors":
+        assert main.count("Scan parquet") == 2 and not any("phase_std" in ln for ln in ties)
+    assert "WindowGroupLimit" in p  # one row a key and task goes on
+
+
+def test_ranking_materialises_order_columns_only(spark, written_events):
+    seen = []
+    whole = type(written_events).checkpoint
+
+    def spy(self, *a, **k):
+        seen.append(self.columns)
+        return whole(self, *a, **k)
+    type(written_events).checkpoint = spy
+    try:
+        ranked = O.global_rank(written_events, O.events.event_order_keys())
+    finally:
+        type(written_events).checkpoint = whole
+    assert seen == [["__o0", "__o1", "__o2", "__n", "__part"]]
+    reads = [ln for ln in plan(ranked).splitlines() if ln.startswith("ReadSchema")]
+    assert len(reads) == 1 and "conditions" in reads[0]  # the wide rows are read by the action
+    assert [r.rk for r in ranked.orderBy("rk").collect()] == [1, 2, 3, 4, 5, 6]
+
+
+def test_equal_rows_share_a_rank(spark):
+    df = spark.createDataFrame([(k % 7, str(k)) for k in range(40)] + [(None, "x")] * 3, "a int, b string").repartition(5)
+    got = O.global_rank(df, ["a"], num_partitions=4).collect()
+    want = sorted((r.a is not None, r.a or 0) for r in df.collect())
+    assert len(got) == 43 and all(want.index((r.a is not None, r.a or 0)) + 1 == r.rk for r in got)
+
+
+def test_all_count_reports_come_from_one_scan(spark, files, tmp_path, monkeypatch):
+    studies = files["studies"]
+    summary = O.study_summary(studies, G.ASOF, 12, 12)
+    assert plan(summary).split("\n\n")[0].count("Scan parquet") == 1
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert same(O.counts_from_summary(summary), O.phase_status_counts(studies))
+    assert same(O.timeline_from_summary(summary, G.ASOF, 12), O.upcoming_timeline(studies, G.ASOF, 12))
+    assert same(O.bars_from_summary(summary), O.upcoming_bars_all(studies, G.ASOF, 12))
+    # different horizons in one summary, and summaries of two halves add up
+    mixed = O.study_summary(studies.where("nct_id < 'N04'"), G.ASOF, 2, 3).union(
+        O.study_summary(studies.where("nct_id >= 'N04'"), G.ASOF, 2, 3))
+    assert same(O.counts_from_summary(mixed), O.phase_status_counts(studies))
+    assert same(O.timeline_from_summary(mixed, G.ASOF, 2), O.upcoming_timeline(studies, G.ASOF, 2))
+    assert same(O.bars_from_summary(mixed), O.upcoming_bars_all(studies, G.ASOF, 3))
+
+
+def test_the_quantile_needs_no_window(files):
+    p = plan(O.phase_status_capped(files["studies"]))
+    windows = [ln for ln in p.splitlines() if "windowspecdefinition" in ln]
+    assert windows and all("windowspecdefinition(phase_std" in ln for ln in windows)
+
+
+def test_emptiness_is_known_from_the_write(spark, tmp_path):
+    from trialscope.sinks import write_csv, write_unless_empty
+    df = spark.range(100, numPartitions=4).withColumn("n", F.col("id") % 3)
+    path = str(tmp_path / "t")
+
+    def jobs(f):
+        spark.sparkContext.setJobGroup(path, "")
+        out = f()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(path))
+    out, n = jobs(lambda: write_unless_empty(df, write_csv, path, counted=F.col("n") == 2))
+    assert out == path and n == 1 and spark.read.csv(path, header=True).count() == 100
+    assert write_unless_empty(df.where("n = 5"), write_csv, path) is None
+    assert spark.read.csv(path, header=True).count() == 100  # what was there stays
+    assert write_unless_empty(df, write_csv, path, counted=F.col("n") == 5) is None
+    assert os.listdir(tmp_path) == ["t"]
 
 
 def test_bars_broadcast_only_the_bounded_counts(files):

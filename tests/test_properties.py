@@ -72,8 +72,8 @@ def test_partitioning_does_not_change_results(t, spark):
 
 def test_global_rank_is_a_permutation(t):
     ev = O.upcoming_events(t["studies"], t["sponsors"], t["interventions"], t["conditions"], ASOF, 3)
-    from trialscope.operators.events import event_order_columns
-    ranked = O.global_rank(ev, event_order_columns(), num_partitions=5)
+    from trialscope.operators.events import event_order_keys
+    ranked = O.global_rank(ev, event_order_keys(), num_partitions=5)
     rows = ranked.orderBy("rk").collect()
     assert [r.rk for r in rows] == list(range(1, len(rows) + 1))
     keys = [(r.event_date, C.EVENT_ORDER.index(r.event_type), r.nct_id) for r in rows]

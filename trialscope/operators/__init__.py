@@ -11,7 +11,9 @@ from .charts import (  # noqa: F401
     top_sponsor_phase,
 )
 from .counts import (  # noqa: F401
+    bars_from_summary,
     capped_of,
+    counts_from_summary,
     landed_counts,
     matrix_of,
     matrix_columns,
@@ -19,11 +21,14 @@ from .counts import (  # noqa: F401
     phase_status_capped,
     phase_status_counts,
     phase_status_matrix,
+    study_summary,
+    timeline_from_summary,
     timeline_long,
     upcoming_bars_all,
     upcoming_counts,
     upcoming_phase_status,
     upcoming_timeline,
+    with_cell_labels,
     with_total_labels,
 )
 from .events import (  # noqa: F401

@@ -2,8 +2,9 @@
 
 Each report is one scan of `studies` and one hash aggregation (partial
 aggregation map-side, so hot keys collapse before the shuffle); the matrix
-needs its columns and so runs that aggregation when it is built. Everything
-after the aggregation works on results whose size is bounded by the category
+needs its columns and so runs that aggregation when it is built. A run of all
+reports needs one scan for all of them: `study_summary` holds partial counts
+from which each report is added up. Everything after the aggregation works on results whose size is bounded by the category
 domains (9 phases x statuses) or the horizon (months + 1), so the small
 joins below broadcast data of a known bound.
 """
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -73,7 +74,7 @@ def capped_of(counts: DataFrame, q: float = C.QUANTILE) -> DataFrame:
 
     One aggregation to a row per status with a number for each of the nine
     phases; that row gives its nine cells. A phase without any study is left
-    out. The windows run over at most nine cells a status.
+    out, and the quantile is taken from the histogram of the cells' values.
     """
     per_status = counts.groupBy("status").agg(*[
         F.sum(F.when(F.col("phase_std") == p, F.col("n")).otherwise(0)).cast("int").alias(f"n{k}")
@@ -82,12 +83,17 @@ def capped_of(counts: DataFrame, q: float = C.QUANTILE) -> DataFrame:
         F.struct(F.lit(p).alias("phase_std"), F.col(f"n{k}").alias("n")) for k, p in enumerate(C.PHASE_ORDER)])))
     dense = (cells.withColumn("_phase", F.sum("n").over(Window.partitionBy("phase_std")))
              .where("_phase > 0").select("phase_std", "status", "n"))
-    whole = Window.partitionBy(F.lit(0))
-    z = F.floor(F.percentile("n", F.lit(q)).over(whole)).cast("int")
+    histogram = dense.groupBy("n").agg(F.count(F.lit(1)).alias("cells"))
+    z = histogram.agg(F.floor(F.percentile("n", F.lit(q), F.col("cells"))).cast("int")).scalar()
     return (dense.withColumn("z95", z)
             .withColumn("n_capped", F.least("n", "z95")))
 
 
+def with_cell_labels(matrix: DataFrame) -> DataFrame:
+    """Adds each cell's count as display text (thousands separators)."""
+    return matrix.withColumn("label", X.format_count("n"))
+
+
 # --- upcoming bars -------------------------------------------------------------
 
 
@@ -124,6 +130,12 @@ def upcoming_phase_status(studies: DataFrame, date_col: str = "start_date",
             .orderBy(*bar_order_columns()))
 
 
+def _date_column(kind: str) -> Column:
+    """The date column an event kind is read from."""
+    pairs = [F.lit(x) for k, (d, _) in C.EVENT_SOURCES.items() for x in (k, d)]
+    return F.create_map(*pairs)[F.col(kind)]
+
+
 def upcoming_bars_all(studies: DataFrame, asof: _dt.date | None = None,
                       months: int = C.BARS_HORIZON_MONTHS) -> DataFrame:
     """The three bar tables from one scan: (date_column, phase_std, status,
@@ -131,16 +143,19 @@ def upcoming_bars_all(studies: DataFrame, asof: _dt.date | None = None,
     base = (active(interventional(studies)).where(any_date_in_window(asof, months))
             .select(X.phase_std().alias("phase_std"), X.status_std().alias("status"),
                     *[c for pair in C.EVENT_SOURCES.values() for c in pair]))
-    kinds = {k: d for k, (d, _) in C.EVENT_SOURCES.items()}
     ev = event_rows(base, asof, months, carry=["phase_std", "status"])
     counts = (ev.groupBy("event_type", "phase_std", "status")
               .agg(F.count(F.lit(1)).cast("int").alias("n"))
-              .select(F.create_map(*[x for k, d in kinds.items() for x in (F.lit(k), F.lit(d))])
-                      [F.col("event_type")].alias("date_column"), "phase_std", "status", "n"))
-    grid = (active_grid(studies.sparkSession)
+              .select(_date_column("event_type").alias("date_column"), "phase_std", "status", "n"))
+    return _dense_bars(counts)
+
+
+def _dense_bars(counts: DataFrame) -> DataFrame:
+    """Sparse (date_column, phase_std, status, n), at most 3 x 9 x 4 rows, as
+    the full grid."""
+    grid = (active_grid(counts.sparkSession)
             .select(F.explode(F.array(*[F.lit(d) for d in C.DATE_COLUMNS])).alias("date_column"),
                     "phase_std", "status"))
-    # counts: at most 3 x 9 x 4 rows.
     dense = (grid.join(F.broadcast(counts), ["date_column", "phase_std", "status"], "left")
              .select("date_column", "phase_std", "status",
                      F.coalesce("n", F.lit(0)).cast("int").alias("count")))
@@ -182,9 +197,13 @@ def upcoming_timeline(studies: DataFrame, asof: _dt.date | None = None,
     counts = ev.groupBy(X.month_of("event_date").alias("month")).agg(
         *[F.count_if(F.col("event_type") == k).cast("int").alias(name)
           for k, name in C.TIMELINE_COLUMNS.items()])
+    return _dense_timeline(counts, asof, months)
+
+
+def _dense_timeline(counts: DataFrame, asof: _dt.date | None, months: int) -> DataFrame:
+    """Counts by month, at most months + 1 rows, on the whole month spine."""
     names = list(C.TIMELINE_COLUMNS.values())
-    # counts has at most months + 1 rows (one per month of the window).
-    return (month_spine(studies.sparkSession, asof, months)
+    return (month_spine(counts.sparkSession, asof, months)
             .join(F.broadcast(counts), "month", "left")
             .select("month", *[F.coalesce(n, F.lit(0)).cast("int").alias(n) for n in names])
             .orderBy("month"))
@@ -194,3 +213,53 @@ def timeline_long(timeline: DataFrame) -> DataFrame:
     """(month, event, count): one row per month and timeline column."""
     names = list(C.TIMELINE_COLUMNS.values())
     return timeline.unpivot("month", names, "event", "count")
+
+
+# --- all count reports from one scan ----------------------------------------------
+
+
+def study_summary(studies: DataFrame, asof: _dt.date | None = None,
+                  timeline_months: int = C.TIMELINE_HORIZON_MONTHS,
+                  bars_months: int = C.BARS_HORIZON_MONTHS) -> DataFrame:
+    """Partial counts for the phase x status, timeline and bar reports, from
+    one scan: (kind, phase_std, status, month, in_timeline, in_bars, n).
+
+    A study counts once under the null kind (all dates) and once under each
+    event kind whose date lies in a window, if its status is active. The rows
+    are at most nine for each status, and for each month of the longer window
+    3 kinds x 9 phases x 4 statuses x 3 pairs of flags; summaries of parts of the studies
+    (snapshots, regions) add up.
+    """
+    day = lambda k: F.col(C.EVENT_SOURCES[k][0]).cast("date").alias("day")
+    kinds = [F.struct(F.lit(None).cast("string").alias("kind"), F.lit(None).cast("date").alias("day"))]
+    kinds += [F.struct(F.lit(k).alias("kind"), day(k)) for k in C.EVENT_ORDER]
+    flag = lambda months: F.coalesce(X.in_window("day", asof, months), F.lit(False))
+    rows = (interventional(studies)
+            .select(X.phase_std().alias("phase_std"), X.status_std().alias("status"), F.inline(F.array(*kinds)))
+            .withColumns({"in_timeline": flag(timeline_months), "in_bars": flag(bars_months)}))
+    counted = F.col("status").isin(*C.ACTIVE_STATUSES) & (F.col("in_timeline") | F.col("in_bars"))
+    return (rows.where(F.col("kind").isNull() | counted)
+            .groupBy("kind", "phase_std", "status", X.month_of("day").alias("month"), "in_timeline", "in_bars")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def counts_from_summary(summary: DataFrame) -> DataFrame:
+    """`phase_status_counts` from a summary (or the union of several)."""
+    return (summary.where(F.col("kind").isNull()).groupBy("phase_std", "status")
+            .agg(F.sum("n").cast("int").alias("n")))
+
+
+def timeline_from_summary(summary: DataFrame, asof: _dt.date | None = None,
+                          months: int = C.TIMELINE_HORIZON_MONTHS) -> DataFrame:
+    """`upcoming_timeline` from a summary made with the same day and horizon."""
+    counts = summary.where("in_timeline").groupBy("month").agg(
+        *[F.sum(F.when(F.col("kind") == k, F.col("n"))).cast("int").alias(name)
+          for k, name in C.TIMELINE_COLUMNS.items()])
+    return _dense_timeline(counts, asof, C.check_months(months))
+
+
+def bars_from_summary(summary: DataFrame) -> DataFrame:
+    """`upcoming_bars_all` from a summary made with the same day and horizon."""
+    return _dense_bars(summary.where("in_bars")
+                       .groupBy(_date_column("kind").alias("date_column"), "phase_std", "status")
+                       .agg(F.sum("n").cast("int").alias("n")))

@@ -175,15 +175,26 @@ def upcoming_events(studies: DataFrame, sponsors: DataFrame, interventions: Data
     return event_rows(wide, asof, months, strategy=strategy).select(*EVENT_COLUMNS)
 
 
+def event_order_keys():
+    """What the event table is ordered by, all ascending: date, kind in
+    EVENT_ORDER (unknown kinds last), study id."""
+    return [F.col("event_date"), F.coalesce(X.event_rank("event_type"), F.lit(len(C.EVENT_ORDER) + 1)), F.col("nct_id")]
+
+
 def event_order_columns():
-    """Total order of the event table: date, kind in EVENT_ORDER, study id."""
-    return [F.col("event_date").asc(), X.event_rank("event_type").asc_nulls_last(),
-            F.col("nct_id").asc()]
+    """Total order of the event table as sort expressions."""
+    return [c.asc() for c in event_order_keys()]
+
+
+def page_order_keys():
+    """The display page's order: date, event kind as text; then study id,
+    which makes it total."""
+    return [F.col("event_date"), F.col("event_type"), F.col("nct_id")]
 
 
 def page_order_columns():
     """The display page's initial order: date, then event kind as text."""
-    return [F.col("event_date").asc(), F.col("event_type").asc()]
+    return [c.asc() for c in page_order_keys()[:2]]
 
 
 def sort_events(events: DataFrame) -> DataFrame:

@@ -5,19 +5,24 @@ Two cases:
 * `small_rank` ranks a result whose size has a known small bound (a top-N,
   or one row per category). A window over it is a single tiny partition.
 * `global_rank` ranks a table of any size without moving it into one
-  partition: range-partition on the order, number the rows inside each
-  partition, and add the running count of the partitions before it. The
-  numbered rows are checkpointed to the reliable checkpoint folder, so the
-  partition sizes and the rows come from the same materialisation (and a lost
-  executor does not change the numbering).
+  partition, and without computing its wide rows early: only the order columns
+  are projected (so joins and columns that they do not need are never
+  computed), counted by value, range-partitioned and numbered; a row's position
+  is the number of rows in the partitions before plus those before it in its
+  own. These narrow rows are checkpointed to the reliable checkpoint folder, so
+  that partition sizes and rows come from one materialisation and a lost
+  executor does not change the numbering. The wide rows meet their positions
+  when the result is computed, by a join on the order columns.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_POS_BITS = 33  # monotonically_increasing_id(): partition index << 33 | row index
+from ..functions import columns as X
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -53,22 +58,26 @@ def small_rank(df: DataFrame, order, name: str = "rk") -> DataFrame:
 
 def global_rank(df: DataFrame, order, name: str = "rk",
                 num_partitions: int | None = None) -> DataFrame:
-    """1-based position of every row in `order` (a total order), computed
-    without gathering the table in one task."""
+    """1-based position of every row in the ascending order of the columns
+    `order` (expressions without a direction; nulls first). Rows that are equal
+    in all of them share the position of the first, as SQL's rank() has it."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (df.repartitionByRange(max(1, n), *order)
-                .sortWithinPartitions(*order)
-                .withColumn("_rid", F.monotonically_increasing_id())
+    n = max(1, num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    names = [f"__o{k}" for k in range(len(order))]
+    keys = [X.col_of(c).alias(o) for c, o in zip(order, names)]
+    numbered = (df.select(*keys).groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
+                .repartitionByRange(n, *names).sortWithinPartitions(*names)
+                .withColumn("__part", F.spark_partition_id())
                 .checkpoint(eager=True))
-    numbered = numbered.select(
-        *df.columns,
-        F.shiftright("_rid", _POS_BITS).alias("_part"),
-        (F.col("_rid").bitwiseAND((1 << _POS_BITS) - 1)).alias("_pos"))
     # One row per partition: bounded by the partition count.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-               .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
-    return (numbered.join(F.broadcast(offsets), "_part")
-            .select(*df.columns, (F.col("_off") + F.col("_pos") + 1).cast("long").alias(name)))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (numbered.groupBy("__part").agg(F.sum("__n").alias("__rows"))
+               .select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__off")))
+    inside = Window.partitionBy("__part").orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    places = (numbered.withColumn("__pos", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
+              .join(F.broadcast(offsets), "__part")
+              .select(*names, (F.col("__off") + F.col("__pos") + 1).cast("long").alias(name)))
+    wide = df.select(*df.columns, *keys)
+    same = [wide[o].eqNullSafe(places[o]) for o in names]
+    return wide.join(places, reduce(lambda a, b: a & b, same)).select(*[wide[f"`{c}`"] for c in df.columns], places[name])

@@ -24,6 +24,14 @@ from ..sinks import writers
 from ..sources import events_file
 
 
+def write_bars(bars: DataFrame, date_col: str, path: str) -> str | None:
+    """The bar table of one date column as a file, or None if no study has
+    that date in the window."""
+    return writers.write_unless_empty(
+        bars.where(F.col("date_column") == date_col).drop("date_column"), writers.write_csv, path,
+        counted=F.col("count") > 0, order=counts.bar_order_columns(), single_file=True)
+
+
 @dataclass
 class TrialReports:
     studies: DataFrame
@@ -61,6 +69,9 @@ class TrialReports:
     def timeline_long(self) -> DataFrame:
         return counts.timeline_long(self.timeline())
 
+    def summary(self) -> DataFrame:
+        return counts.study_summary(self.studies, self.asof, self.timeline_months, self.bars_months)
+
     def bars(self, date_col: str) -> DataFrame:
         return counts.upcoming_phase_status(self.studies, date_col, self.asof, self.bars_months)
 
@@ -77,7 +88,7 @@ class TrialReports:
         return self
 
     def events_ranked(self) -> DataFrame:
-        return global_rank(self.events(), events.event_order_columns())
+        return global_rank(self.events(), events.event_order_keys())
 
     # --- charts -----------------------------------------------------------
     def top_sponsor_phase(self, n=C.TOP_SPONSORS_DEFAULT, sponsors=None) -> DataFrame:
@@ -104,24 +115,21 @@ class TrialReports:
         spark = self.studies.sparkSession
         written: dict[str, str | None] = {}
 
-        # three reports from one scan: at most nine counts a status
-        long = counts.landed_counts(self.studies)
+        # all count reports from one scan of the studies
+        summary = writers.landed(self.summary())
+        long = writers.landed(counts.counts_from_summary(summary))
         for name, df in (("phase_status", long), ("phase_status_matrix", counts.matrix_of(long)),
-                         ("phase_status_capped", counts.capped_of(long))):
+                         ("phase_status_capped", counts.with_cell_labels(counts.capped_of(long)))):
             written[name] = writers.write_csv(df, f"{out}/{name}", single_file=True)
-        timeline = writers.landed(self.timeline())  # months + 1 rows
+        timeline = writers.landed(counts.timeline_from_summary(summary, self.asof, self.timeline_months))
         written["timeline"] = writers.write_csv(timeline, f"{out}/timeline", order=["month"], single_file=True)
         written["timeline_long"] = writers.write_csv(
             counts.timeline_long(timeline), f"{out}/timeline_long", single_file=True)
-        # The three bar tables from one scan (3 x 36 rows); a column without
-        # any row in the window is skipped, not zero-filled.
-        bars = writers.landed(counts.with_total_labels(
-            counts.upcoming_bars_all(self.studies, self.asof, self.bars_months)))
+        # The three bar tables (3 x 36 rows); a date column without any row in
+        # the window is skipped, not zero-filled.
+        bars = writers.landed(counts.with_total_labels(counts.bars_from_summary(summary)))
         for date_col in C.DATE_COLUMNS:
-            mine = bars.where(F.col("date_column") == date_col).drop("date_column")
-            written[f"bars_{date_col}"] = writers.write_unless_empty(
-                mine, writers.write_csv, f"{out}/bars/{date_col}", check=mine.where("count > 0"),
-                order=counts.bar_order_columns(), single_file=True)
+            written[f"bars_{date_col}"] = write_bars(bars, date_col, f"{out}/bars/{date_col}")
 
         # The event table: parquet once, then CSV from it in final order.
         # The candidate studies feed four joins: they are landed first.

@@ -73,4 +73,4 @@ def require_columns(df: DataFrame, expected: Iterable[str], what: str = "input")
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast the columns of `schema`, in its order."""
     require_columns(df, schema.fieldNames())
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])

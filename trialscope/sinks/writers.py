@@ -8,7 +8,10 @@ only (it funnels the result through one task).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ..operators.events import event_order_columns
 from ..schemas import EVENT_COLUMNS
@@ -66,12 +69,24 @@ def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "over
     return path
 
 
-def write_unless_empty(df: DataFrame, write, *args, check: DataFrame | None = None, **kwargs):
-    """Run `write(df, ...)` unless `check` (default `df`) has no rows.
+def write_unless_empty(df: DataFrame, write, path: str, *args, counted: Column | None = None, **kwargs) -> str | None:
+    """`write(df, path, ...)` unless `df` has no rows (or none where `counted`
+    holds): one pass writes and counts.
 
-    Returns the writer's result, or None when skipped. isEmpty() stops at the
-    first row found.
+    The rows are written beside `path` and counted on the way; the result then
+    takes the place of `path`, or is removed, and what was at `path` stays.
+    Returns `path`, or None when skipped.
     """
-    if (check if check is not None else df).isEmpty():
+    spark = df.sparkSession
+    seen = Observation()
+    rows = F.count(F.lit(1)) if counted is None else F.count_if(counted)
+    draft = f"{path.rstrip('/')}.draft-{uuid.uuid4().hex}"
+    write(df.observe(seen, rows.alias("rows")), draft, *args, **kwargs)
+    target, written = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, draft))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not seen.get["rows"]:
+        fs.delete(written, True)
         return None
-    return write(df, *args, **kwargs)
+    fs.delete(target, True)
+    fs.rename(written, target)
+    return path

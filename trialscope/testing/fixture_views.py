@@ -10,6 +10,8 @@ input row, so the work grows with the data.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,105 +30,130 @@ STATUS_BY_ORDERKEY = (
 START_TYPE_BY_ORDERKEY = ("ACTUAL", "ESTIMATED", None)
 PRIMARY_TYPE_BY_ORDERKEY = ("ACTUAL", "ESTIMATED", None, None, None)
 COMPLETION_TYPE_BY_ORDERKEY = ("ACTUAL", "ESTIMATED", None, None)
+# Sponsor names by key modulus that differ in case or accents only.
+SPELLINGS = {17: "Zentrum", 19: "zentrum", 23: "z\u00e9ntrum", 29: "Z\u00e9ntrum", 31: "\u00c9cole", 37: "eclair"}
 
-TABLES = ("orders", "lineitem", "supplier", "part", "documents")
+# The columns that the mapping reads, declared: no job reads footers for them.
+COLUMNS = {
+    "orders": "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp_ntz",
+    "supplier": "s_suppkey long, s_name string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string",
+    "documents": "doc_id long, text string",
+}
+TABLES = tuple(COLUMNS)
 
 
-def read_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
+def read_star(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(COLUMNS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 # --- Spark -------------------------------------------------------------------
 
-def _by_mod(key: Column, values) -> Column:
-    m = key % len(values)
-    expr = None
-    for i, v in enumerate(values):
-        lit = F.lit(v).cast("string")
-        expr = F.when(m == i, lit) if expr is None else expr.when(m == i, lit)
-    return expr
+def _by_mod(key: str, values) -> Column:
+    return F.expr(_sql_by_mod(key, values))
 
 
 def _nct(key: str) -> Column:
-    return F.concat(F.lit("NCT"), F.lpad(F.col(key).cast("string"), 8, "0"))
-
-
-def trial_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """studies, sponsors, interventions, conditions as lazy DataFrames.
+    return F.expr(f"concat('NCT', lpad(CAST({key} AS STRING), 8, '0'))")
 
-    Nothing is kept between calls: every use lists the files, reads their
-    footers, analyses the mapping and scans the files in full.
-    """
-    star = read_star(spark, sf_dir)
-    orders, lineitem = star["orders"], star["lineitem"]
 
-    k = F.col("o_orderkey")
-    ship = lineitem.groupBy("l_orderkey").agg(
+def _studies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship = read_star(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
-    titles = star["documents"].select("doc_id", F.col("text").alias("brief_title"))
+    documents = read_star(spark, sf_dir, "documents")
+    titles = documents.select("doc_id", F.col("text").alias("brief_title"))
     # every document gives titles: order keys go round the whole table
-    n_docs = star["documents"].agg(F.count(F.lit(1)).alias("n")).scalar()
+    n_docs = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
+    k = F.col("o_orderkey")
     odate = F.col("o_orderdate").cast("date")
-    studies = (
-        orders
+    return (
+        read_star(spark, sf_dir, "orders")
         # dates first, titles last: a report's date filter is then pushed
         # below the title join and only surviving rows carry their text
         .join(ship, ship["l_orderkey"] == k, "left")
         .join(titles, titles["doc_id"] == k % n_docs, "left")
         .select(
             _nct("o_orderkey").alias("nct_id"),
-            F.when(k % 10 == 9, "OBSERVATIONAL").otherwise("INTERVENTIONAL").alias("study_type"),
-            _by_mod(F.col("o_custkey"), PHASE_BY_CUSTKEY).alias("phase"),
-            _by_mod(k, STATUS_BY_ORDERKEY).alias("overall_status"),
+            F.expr("CASE WHEN o_orderkey % 10 = 9 THEN 'OBSERVATIONAL' ELSE 'INTERVENTIONAL' END").alias("study_type"),
+            _by_mod("o_custkey", PHASE_BY_CUSTKEY).alias("phase"),
+            _by_mod("o_orderkey", STATUS_BY_ORDERKEY).alias("overall_status"),
             F.col("brief_title"),
             F.when(k % 13 != 0, F.floor(F.col("o_totalprice") / 100).cast("int")).alias("enrollment"),
-            F.when(k % 7 == 0, F.lit(None).cast("string"))
-             .when(k % 2 == 0, "ACTUAL").otherwise("ESTIMATED").alias("enrollment_type"),
+            F.expr("CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN 'ACTUAL' ELSE 'ESTIMATED' END")
+             .alias("enrollment_type"),
             odate.alias("last_update_posted_date"),
             F.when(k % 17 != 0, odate).alias("start_date"),
-            _by_mod(k, START_TYPE_BY_ORDERKEY).alias("start_date_type"),
+            _by_mod("o_orderkey", START_TYPE_BY_ORDERKEY).alias("start_date_type"),
             F.col("first_ship").cast("date").alias("primary_completion_date"),
-            _by_mod(k, PRIMARY_TYPE_BY_ORDERKEY).alias("primary_completion_date_type"),
+            _by_mod("o_orderkey", PRIMARY_TYPE_BY_ORDERKEY).alias("primary_completion_date_type"),
             F.col("last_ship").cast("date").alias("completion_date"),
-            _by_mod(k, COMPLETION_TYPE_BY_ORDERKEY).alias("completion_date_type"),
+            _by_mod("o_orderkey", COMPLETION_TYPE_BY_ORDERKEY).alias("completion_date_type"),
         )
     )
 
+
+def _sponsors(spark: SparkSession, sf_dir: str) -> DataFrame:
     # names as registries hold them: missing, blank, padded, with a tab or a
-    # no-break space at an end
-    s = F.col("l_suppkey") % 50
-    sponsor = (F.when(s == 0, F.lit(None).cast("string")).when(s == 7, F.lit(" \t "))
-               .when(s == 11, F.concat(F.lit("  "), F.col("s_name"), F.lit(" ")))
-               .when(s == 13, F.concat(F.lit("\t"), F.col("s_name"), F.lit("\u00a0")))
-               .otherwise(F.col("s_name")))
-    sponsors = (
-        lineitem.join(star["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            _nct("l_orderkey").alias("nct_id"),
-            sponsor.alias("name"),
-            F.when(F.col("l_linenumber") <= 2, "lead").otherwise("collaborator")
-             .alias("lead_or_collaborator"),
-        )
-    )
-    line_part = lineitem.join(star["part"], F.col("l_partkey") == F.col("p_partkey"))
-    interventions = line_part.select(
+    # no-break space at an end, some that differ in case or accents only
+    odd = "".join(f" WHEN {k} THEN '{name}'" for k, name in SPELLINGS.items())
+    name = F.expr("CASE l_suppkey % 50 WHEN 0 THEN NULL WHEN 7 THEN concat(' ', char(9), ' ') "
+                  "WHEN 11 THEN concat('  ', s_name, ' ') WHEN 13 THEN concat(char(9), s_name, '\u00a0')"
+                  f"{odd} ELSE s_name END")
+    return (read_star(spark, sf_dir, "lineitem")
+            .join(read_star(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .select(_nct("l_orderkey").alias("nct_id"), name.alias("name"),
+                    F.when(F.col("l_linenumber") <= 2, "lead").otherwise("collaborator").alias("lead_or_collaborator")))
+
+
+def _line_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (read_star(spark, sf_dir, "lineitem")
+            .join(read_star(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")))
+
+
+def _interventions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _line_part(spark, sf_dir).select(
         _nct("l_orderkey").alias("nct_id"),
         F.when(F.col("l_partkey") % 23 != 0, F.col("p_type")).alias("intervention_type"),
         F.col("p_name").alias("name"),
     )
-    conditions = line_part.select(
+
+
+def _conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _line_part(spark, sf_dir).select(
         _nct("l_orderkey").alias("nct_id"),
         F.concat(F.col("p_brand"), F.lit(" "),
                  F.repeat(F.concat(F.col("p_name"), F.lit(" ")), 6)).alias("name"),
     )
-    out = {"studies": studies, "sponsors": sponsors,
-           "interventions": interventions, "conditions": conditions}
-    return {name: schemas.conform(df, schemas.INPUTS[name]) for name, df in out.items()}
+
+
+class TrialTables(Mapping):
+    """studies, sponsors, interventions, conditions as lazy DataFrames, each
+    built when asked for. Nothing is kept between calls: every use lists the
+    files, analyses the mapping and scans the tables it needs in full."""
+
+    MAKE = {"studies": _studies, "sponsors": _sponsors, "interventions": _interventions, "conditions": _conditions}
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return schemas.conform(self.MAKE[name](self.spark, self.sf_dir), schemas.INPUTS[name])
+
+    def __iter__(self):
+        return iter(self.MAKE)
+
+    def __len__(self):
+        return len(self.MAKE)
+
+
+def trial_tables(spark: SparkSession, sf_dir: str) -> TrialTables:
+    return TrialTables(spark, sf_dir)
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Also expose the four tables as temp views for spark.sql()."""
-    tables = trial_tables(spark, sf_dir)
+    tables = dict(trial_tables(spark, sf_dir))
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     return tables
@@ -175,6 +202,7 @@ sponsors AS (
   SELECT {_sql_nct('l.l_orderkey')} AS nct_id,
          CASE l.l_suppkey % 50 WHEN 0 THEN NULL WHEN 7 THEN ' ' || chr(9) || ' '
               WHEN 11 THEN '  ' || s.s_name || ' ' WHEN 13 THEN chr(9) || s.s_name || chr(160)
+              {" ".join(f"WHEN {k} THEN '{name}'" for k, name in SPELLINGS.items())}
               ELSE s.s_name END AS name,
          CASE WHEN l.l_linenumber <= 2 THEN 'lead' ELSE 'collaborator' END AS lead_or_collaborator
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey

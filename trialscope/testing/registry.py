@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .. import schemas
 from ..operators import charts, counts, events, ranking
 from ..plans import sql_reports
-from ..sinks import writers
+from ..plans.reports import write_bars
+from ..sinks import layout, writers
 from ..sources import events_file, read_tables
 from . import oracles
 from .fixture_views import trial_tables
@@ -63,8 +65,9 @@ def _csv_roundtrip(spark, sf_dir):
 
 
 def _tables_roundtrip(spark, sf_dir):
-    """The four tables written and read back with `read_tables`: the source's
-    row, study and text counts (CSV for two, parquet for two)."""
+    """The four tables written and read back with `read_tables`: row, study
+    and text counts and a sum over a hash of each row's values (CSV for two,
+    parquet for two)."""
     root, out = _scratch(spark, "tables"), []
     tables = _t(spark, sf_dir)
     for fmt, names in (("csv", ("studies", "sponsors")), ("parquet", ("interventions", "conditions"))):
@@ -77,11 +80,49 @@ def _tables_roundtrip(spark, sf_dir):
             | read_tables(spark, {n: f"{root}/{n}.parquet" for n in ("interventions", "conditions")}))
     for name, df in back.items():
         text = "brief_title" if name == "studies" else "name"
+        row = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns])
+        hashed = F.conv(F.left(F.md5(F.encode(row, "UTF-8")), F.lit(12)), 16, 10).cast("long")
         out.append(df.agg(F.lit(name).alias("name"), F.count("*").alias("n"),
-                          F.countDistinct("nct_id").alias("studies"), F.count(text).alias("texts")))
+                          F.countDistinct("nct_id").alias("studies"), F.count(text).alias("texts"),
+                          F.sum(hashed).alias("checksum")))
     return reduce(DataFrame.unionByName, out)
 
 
+def _bars_written(spark, sf_dir):
+    """Bar tables written or skipped, at a day when all have rows and one when
+    a date column has none."""
+    studies, root, out = _t(spark, sf_dir)["studies"], _scratch(spark, "bars"), []
+    for asof in (oracles.ASOF, oracles.LATE):
+        bars = counts.upcoming_bars_all(studies, _dt.date.fromisoformat(asof))
+        for date_col in C.DATE_COLUMNS:
+            path = write_bars(bars, date_col, f"{root}/{asof}/{date_col}")
+            rows = (spark.read.option("header", "true").schema("phase_std string, status string, count long, phase_total long")
+                    .csv(path) if path else spark.createDataFrame([], "count long"))
+            out.append(rows.agg(F.lit(asof).alias("asof"), F.lit(date_col).alias("date_column"),
+                                F.coalesce(F.sum("count"), F.lit(0)).alias("total"), F.count("*").alias("written_rows")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _events_bucketed(spark, sf_dir):
+    """The event table over tables bucketed by study id, joined without a
+    shuffle of the three tables with many rows per study."""
+    prefix = layout.write_bucketed(_t(spark, sf_dir), f"trial_{uuid.uuid4().hex}", 8)
+    t = layout.read_bucketed(spark, prefix)
+    return events.upcoming_events(t["studies"], t["sponsors"], t["interventions"], t["conditions"], ASOF,
+                                  C.TABLE_HORIZON_MONTHS, join_hint="merge")
+
+
+def _events_clustered(spark, sf_dir):
+    """Event rows read from studies clustered by their three dates."""
+    path = layout.write_clustered(_t(spark, sf_dir)["studies"], _scratch(spark, "clustered"), 16)
+    cand = events.upcoming_studies(spark.read.schema(schemas.STUDIES).parquet(path), ASOF, C.TABLE_HORIZON_MONTHS)
+    return events.event_rows(cand, ASOF, C.TABLE_HORIZON_MONTHS)
+
+
+def _summary(spark, sf_dir):
+    return counts.study_summary(_t(spark, sf_dir)["studies"], ASOF)
+
+
 def _json_export(spark, sf_dir):
     ev = _events(spark, sf_dir)
     path = writers.write_json(ev, _scratch(spark, "events_json"), order=events.event_order_columns())
@@ -119,7 +160,7 @@ def queries() -> dict[str, Query]:
         # the same plan with shuffle joins on the candidate ids
         "upcoming_events_shuffle": lambda s, d: _events(s, d, join_hint="merge"),
         "upcoming_events_ranked": lambda s, d: ranking.global_rank(
-            _events(s, d), events.event_order_columns()),
+            _events(s, d), events.event_order_keys()),
         "upcoming_events_display": lambda s, d: events.display_events(_events(s, d)),
         "top_sponsor_phase": lambda s, d: charts.top_sponsor_phase(
             _events(s, d), oracles.TOP_SPONSORS_N),
@@ -133,12 +174,23 @@ def queries() -> dict[str, Query]:
             _events(s, d), oracles.TOP_TYPES_N, oracles.FILTER_REQUEST),
         "sponsor_list": lambda s, d: charts.sponsor_list(_events(s, d)),
         "upcoming_events_page_order": lambda s, d: ranking.global_rank(
-            _events(s, d), [*events.page_order_columns(), F.col("nct_id")]),
+            _events(s, d), events.page_order_keys()),
         "sponsor_list_sorted": lambda s, d: ranking.global_rank(
             charts.sponsor_list(_events(s, d)), charts.locale_order_columns()),
         "upcoming_bars_labels": lambda s, d: counts.with_total_labels(_bars("start_date")(s, d)),
         "top_sponsor_phase_json_request": lambda s, d: charts.top_sponsor_phase(
             _events(s, d), "12.9", C.parse_sponsor_request(None, " , ", oracles.JSON_REQUEST)),
+        "phase_status_labels": lambda s, d: counts.with_cell_labels(
+            counts.phase_status_capped(_t(s, d)["studies"])),
+        "summary_phase_status": lambda s, d: counts.counts_from_summary(_summary(s, d)),
+        "summary_timeline": lambda s, d: counts.timeline_from_summary(_summary(s, d), ASOF),
+        "summary_bars": lambda s, d: counts.bars_from_summary(_summary(s, d)),
+        "timeline_env_horizon": lambda s, d: counts.upcoming_timeline(
+            _t(s, d)["studies"], ASOF, C.horizon_from_env(
+                C.TIMELINE_HORIZON_ENV, C.TIMELINE_HORIZON_MONTHS, {C.TIMELINE_HORIZON_ENV: oracles.ENV_MONTHS})),
+        "bars_written_or_skipped": _bars_written,
+        "upcoming_events_bucketed": _events_bucketed,
+        "events_clustered": _events_clustered,
         "tables_roundtrip": _tables_roundtrip,
         "events_csv_roundtrip": _csv_roundtrip,
         "events_json_export": _json_export,
