@@ -6,6 +6,8 @@ import os
 import subprocess
 import sys
 
+import pytest
+
 import __spark_entry__ as E
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -29,3 +31,23 @@ def test_entry_module_keys():
     assert all(callable(f) for f in E.queries().values())
     assert all(isinstance(s, str) and s.strip().upper().startswith(("WITH", "SELECT"))
                for s in E.oracle_sql().values())
+
+
+@pytest.mark.parametrize("blocked,alone", [("sentencepiece", True), ("corpus_pipeline", True), ("trialscope.llm", True),
+                                           ("trialscope.sinks", None), ("json", None)])
+def test_reports_work_without_the_optional_part(blocked, alone):
+    """A missing optional module leaves the reports; any other one is an error."""
+    code = (f"import sys\nsys.path.insert(0, {ROOT!r})\n"
+            "class Block:\n"
+            "    def find_spec(self, name, *a):\n"
+            f"        if name == {blocked!r}:\n            raise ModuleNotFoundError('no ' + name, name=name)\n"
+            f"sys.modules.pop({blocked!r}, None)\nsys.meta_path.insert(0, Block())\n"
+            "import warnings; warnings.simplefilter('ignore')\n"
+            "import __spark_entry__ as E\n"
+            "print(len(E.queries()), any(k.startswith('op') for k in E.queries()))")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT)
+    if alone:
+        n, corpus = out.stdout.split()
+        assert int(n) >= 38 and corpus == "False"
+    else:
+        assert out.returncode != 0 and "ModuleNotFoundError" in out.stderr
