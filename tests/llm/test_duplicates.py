@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -162,6 +163,32 @@ def test_extendible_index(scratch, bits):
     assert (every["present"] == (every["n_code"] % 9 != 0)).all()
 
 
+def test_answers_are_looked_up_in_the_index(spark):
+    """A hot text is one question a task."""
+    rows = [fx.row(k, "hot text" if k % 3 else f"text {k}") for k in range(600)]
+    docs = fx.docs(spark, rows).repartition(6)
+    got = exact_dedup.exact_duplicates(docs).collect()
+    assert Counter(map(tuple, got)) == plain_exact(fx.pairs(rows))
+    _, answers = exact_dedup.looked_up(docs)
+    assert answers.groupBy("sha").count().agg({"count": "max"}).first()[0] <= 6
+
+
+def test_a_large_key_is_dealt_out_again(spark):
+    """More fingerprints under one key than a task compares at once, most of
+    them not linked: time stays far from the square of their number."""
+    rng = np.random.default_rng(11)
+    n = 5 * simhash.GROUP
+    fp = np.unique(rng.integers(0, 1 << 48, n, dtype=np.uint64) << np.uint64(16))  # one equal block
+    nodes = spark.createDataFrame(spark.sparkContext.parallelize([(int(x),) for x in fp.view(np.int64)], 8), "fp long")
+    begin = time.time()
+    links = simhash.near_links(nodes).distinct().collect()
+    assert time.time() - begin < 120
+    known = set(fp.view(np.int64).tolist())
+    for r in links:
+        assert r.x in known and r.y in known
+        assert int(np.bitwise_count(np.uint64(r.x & (1 << 64) - 1) ^ np.uint64(r.y & (1 << 64) - 1))) <= 3
+
+
 def test_exact_oracle(spark):
     sf = "/root/testdata/sf0.001"
     got = exact_dedup.exact_duplicates(spark.read.parquet(f"{sf}/documents.parquet"))

@@ -48,21 +48,36 @@ def test_every_stage_keeps_columns_and_decides_rows(spark, sf_dir):
     good = stage("quality_classifier")(spark, docs, sf_dir)
     assert good.schema == docs.schema and ids(good) == sorted(str(r.doc_id) for r in scored if r.predicted)
     rows = fx.pairs(fx.edge_rows())
-    stay = {}
-    for i, t in rows:
-        key = re.sub(r"[\x20\x09-\x0D]", "", t)
-        rank = (-len(t), i is None, i or 0)
-        stay[key] = min(stay.get(key, (rank, i)), (rank, i), key=lambda x: x[0])
-    chosen = {i for _, i in stay.values()}
     exact = stage("exact_duplicates")(spark, docs, sf_dir)
-    assert exact.schema == docs.schema and ids(exact) == sorted(str(i) for i, _ in rows if i in chosen)
+    assert exact.schema == docs.schema
+    best = {}
+    for i, t in rows:  # the most code points, then the least doc_id
+        key = re.sub(r"[\x20\x09-\x0D]", "", t)
+        best[key] = min(best.get(key, (1, True, 0, None)), (-len(t), i is None, i or 0, i))
+    got = {re.sub(r"[\x20\x09-\x0D]", "", r.text or ""): r for r in exact.collect()}
+    assert len(got) == exact.count() == len(best)  # one row a group
+    assert {k: (-len(r.text or ""), r.doc_id) for k, r in got.items()} == {k: (v[0], v[3]) for k, v in best.items()}
     fp = np.array([simhash.fingerprint(t.encode()) for _, t in rows], np.uint64)
     groups = {}
-    for (i, _), g in zip(rows, plain_components(fp)):
+    for (i, t), g in zip(rows, plain_components(fp)):
         groups.setdefault(g, []).append(i)
-    chosen = {min((i for i in m if i is not None), default=None) for m in groups.values()}
     near = stage("simhash_near_duplicates")(spark, docs, sf_dir)
-    assert near.schema == docs.schema and ids(near) == sorted(str(i) for i, _ in rows if i in chosen)
+    assert near.schema == docs.schema
+    names = sorted(str(min((i for i in m if i is not None), default=None)) for m in groups.values())
+    assert ids(near) == names  # one row a group
+
+
+def test_dedup_stages_leave_one_of_repeated_rows(spark, sf_dir):
+    texts = {"a b c": 3, "d e f g": 2, "": 2}
+    rows = [fx.row(1, t) for t, n in texts.items() for _ in range(n)]  # one doc_id for different texts
+    rows += [fx.row(None, "n o id")] * 2 + [fx.row(2, "a b  c"), fx.row(0, None)]
+    docs = fx.docs(spark, rows).repartition(5)
+    exact = stage("exact_duplicates")(spark, docs, sf_dir).collect()
+    assert sorted((str(r.doc_id), r.text) for r in exact) == sorted(
+        [("2", "a b  c"), ("1", "d e f g"), ("0", None), ("None", "n o id")], key=str)
+    near = stage("simhash_near_duplicates")(spark, docs, sf_dir).collect()
+    assert sorted((str(r.doc_id), r.text) for r in near) == sorted(
+        [("1", "a b c"), ("1", "d e f g"), ("0", None), ("None", "n o id")], key=str)
 
 
 def test_every_stage_takes_an_empty_table(spark, sf_dir):

@@ -6,13 +6,19 @@ has a key range. An owner sorts its range, compares the bytes of texts under
 one key, chains those that differ, and inserts one entry per text into an
 extendible-hash index: a bucket that overflows is split by one more bit, which
 doubles the directory where needed; entries that no bit can part go to chained
-overflow pages. Each owner writes its index as one file in the shared folder;
-the answers are read from these files.
+overflow pages. Each owner writes its index as one file in the shared folder.
+
+Answers come from the index: every task asks once for each text it has, the
+questions of a key range are dealt to one task, which goes from the directory
+to the bucket and through its chain, and the answer returns to the rows of the
+asking task. So a text that a third of all rows have is one question a task.
 
 Defined results: a null text counts as empty, and texts of white space alone
 are equal to it; rows with equal doc_id and equal text share the verdict of
 that doc_id; a null doc_id stays only if its whole group has none; an empty
-table gives no rows.
+table gives no rows. ``keep_first`` keeps one row of each group: of the rows
+that share the doc_id that stays, one with the most code points, and of rows
+that are equal in that too, any one.
 """
 
 from __future__ import annotations
@@ -27,7 +33,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shared
@@ -42,6 +49,8 @@ ENTRY = np.dtype([("key", "<u8"), ("sha", "V32"), ("doc_id", "<i8"), ("present",
 FOLDED = "owner int, key long, sha binary, text binary, doc_id long, n_code long, copies long"
 MANIFEST = "owner int, path string, n_entries long, depth int, n_pages long"
 GROUPS = "sha binary, keep_id long, group_size long"
+ROWS = "doc_id long, sha binary, part int, mark long, own_code long"
+ANSWERS = "sha binary, part int, keep_id long, group_size long, n_code long"
 
 
 def normalised(text: bytes) -> bytes:
@@ -53,13 +62,27 @@ def _better(a: tuple, b: tuple) -> bool:
     return a[0] > b[0] or (a[0] == b[0] and a[1] is not None and (b[1] is None or a[1] < b[1]))
 
 
+def _key(sha: bytes, key_bits: int) -> int:
+    return int.from_bytes(sha[:8], "big") >> (64 - key_bits)
+
+
+def owner_bits_of(spark: SparkSession, key_bits: int) -> int:
+    """Owners are four to a shuffle partition, so the key ranges shrink as
+    partitions grow; at most 2**31 of them."""
+    return min(key_bits - 1, 31, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+
+
+def owner_path(root: str, owner: int) -> str:
+    return f"{root}/range-{owner:06d}.xhash"
+
+
 def _folder(key_bits: int, owner_bits: int, fold_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, list] = {}
         size = 0
 
         def flush() -> pa.RecordBatch:
-            keys = [int.from_bytes(s[:8], "big") >> (64 - key_bits) for s in held]
+            keys = [_key(s, key_bits) for s in held]
             cols = list(zip(*held.values()))
             return pa.RecordBatch.from_arrays([
                 pa.array([k >> (key_bits - owner_bits) for k in keys], pa.int32()),
@@ -199,7 +222,7 @@ def _owner(root: str, key_bits: int, owner_bits: int, page: int):
 
         def close_owner() -> pa.RecordBatch:
             close_key()
-            path = f"{root}/range-{owner:06d}.xhash"
+            path = owner_path(root, owner)
             entries, pages = index.write(path)
             return pa.RecordBatch.from_arrays(
                 [pa.array([owner], pa.int32()), pa.array([path]), pa.array([entries], pa.int64()),
@@ -232,10 +255,9 @@ def _owner(root: str, key_bits: int, owner_bits: int, page: int):
 
 def build_index(docs: DataFrame, root: str, key_bits: int = KEY_BITS, page: int = PAGE,
                 fold_bytes: int = FOLD_BYTES) -> DataFrame:
-    """Write the index files below ``root``; returns their manifest. Owners are
-    four to a shuffle partition, so the key ranges shrink as partitions grow."""
+    """Write the index files below ``root``; returns their manifest."""
     spark = docs.sparkSession
-    owner_bits = min(key_bits - 1, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    owner_bits = owner_bits_of(spark, key_bits)
     folded = shared.id_text(docs).mapInArrow(_folder(key_bits, owner_bits, fold_bytes), FOLDED)
     files = (folded.repartition("owner").sortWithinPartitions("owner", "key")
              .mapInArrow(_owner(root, key_bits, owner_bits, page), MANIFEST))
@@ -262,26 +284,68 @@ def read_index(manifest: DataFrame) -> DataFrame:
 
 
 def _hasher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    part_id = TaskContext.get().partitionId()
     for part in shared.text_slices(batches):
         sha = [hashlib.sha256(normalised(t)).digest() for t in part.column("text").cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sha, pa.binary())],
-                                         names=["doc_id", "text_sha"])
+        yield pa.RecordBatch.from_arrays(
+            [part.column("doc_id"), pa.array(sha, pa.binary()), pa.array(np.full(len(sha), part_id, np.int32)),
+             part.column("mark"), pc.utf8_length(part.column("text")).cast(pa.int64())],
+            names=["doc_id", "sha", "part", "mark", "own_code"])
+
+
+def _asker(root: str, key_bits: int, owner_bits: int):
+    """Answers questions (owner, sha, part), sorted, from the owners' files."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owner = file = sha = entry = None
+        for batch in batches:
+            out = []
+            for own, text_sha, part in zip(*(batch.column(c).to_pylist() for c in ("owner", "sha", "part"))):
+                if own != owner:
+                    owner, file, sha = own, IndexFile(owner_path(root, own)), None
+                if text_sha != sha:
+                    sha = text_sha
+                    entry = next(e for e in file.lookup(_key(sha, key_bits)) if e["sha"].tobytes() == sha)
+                out.append((sha, part, int(entry["doc_id"]) if entry["present"] else None, int(entry["copies"]),
+                            int(entry["n_code"])))
+            if out:
+                cols = list(zip(*out))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[2:])],
+                    names=["sha", "part", "keep_id", "group_size", "n_code"])
+    return run
+
+
+def looked_up(docs: DataFrame, key_bits: int = KEY_BITS, page: int = PAGE) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, sha, part, mark, own_code) of every row, ``mark`` telling the
+    texts of one doc_id apart, and what the index says for each (sha, part):
+    keep_id, group_size and n_code, the code points of the text that stays."""
+    spark = docs.sparkSession
+    root = shared.scratch(spark, "exact-index")
+    build_index(docs, root, key_bits, page)
+    rows = shared.stored(shared.id_text(docs).withColumn("mark", F.xxhash64("text")).mapInArrow(_hasher, ROWS), "exact-rows")
+    bits = owner_bits_of(spark, key_bits)
+    owner = F.conv(F.hex(F.substring("sha", 1, 4)), 16, 10).cast("long")
+    # the owner's bits are the highest of the key, which are the hash's first
+    asked = rows.select("sha", "part").distinct().withColumn("owner", F.shiftright(owner, 32 - bits).cast("int"))
+    answers = (asked.repartition("owner").sortWithinPartitions("owner", "sha")
+               .mapInArrow(_asker(root, key_bits, bits), ANSWERS))
+    return rows, answers
 
 
 def exact_duplicates(docs: DataFrame, key_bits: int = KEY_BITS, page: int = PAGE) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) of every row. A group
-    of many copies is one index entry; the rows are joined to it, and a join
-    splits a large key by itself."""
-    root = shared.scratch(docs.sparkSession, "exact-index")
-    groups = read_index(build_index(docs, root, key_bits, page))
-    rows = shared.id_text(docs).mapInArrow(_hasher, "doc_id long, text_sha binary")
-    # the plan cannot know how large the index files' entries are: no broadcast
-    return rows.join(groups.hint("merge"), rows["text_sha"] == groups["sha"]).select(
+    of many copies is one index entry and one question a task; the rows of a
+    task and their answers meet by (hash, task)."""
+    rows, answers = looked_up(docs, key_bits, page)
+    return rows.join(answers, ["sha", "part"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that stay: one doc_id of each group."""
-    stay = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("__stay")).distinct()
-    return docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(stay["__stay"]), "left_semi")
+    """One row, all columns, of each group: the row that stays."""
+    rows, answers = looked_up(docs)
+    best = (rows.join(answers, ["sha", "part"])
+            .where(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("own_code") == F.col("n_code")))
+            .groupBy("sha", "keep_id").agg(F.min("mark").alias("mark")))
+    return shared.rows_marked(docs, best.select(F.col("keep_id").alias("doc_id"), "mark"))

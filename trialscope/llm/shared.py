@@ -91,6 +91,16 @@ def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES
         pa.default_memory_pool().release_unused()
 
 
+def rows_marked(docs: DataFrame, stay: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose doc_id and text hash (``mark``,
+    xxhash64) are in ``stay``; of rows that are equal in both, one."""
+    name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    own = docs.select("*", name(F.col("doc_id")).alias("__id"), F.xxhash64(name(F.col("text"))).alias("__mark"))
+    stay = stay.select(name(F.col("doc_id")).alias("__id"), F.col("mark").alias("__mark")).distinct()
+    key = ["__id", "__mark"]
+    return own.join(stay, key, "left_semi").dropDuplicates(key).select([F.col(f"`{c}`") for c in docs.columns])
+
+
 def keep_rows(docs: DataFrame, judge: Callable[[pa.Array], np.ndarray]) -> DataFrame:
     """The rows of ``docs`` whose text passes, every column as it was.
     ``judge`` takes the texts (null as empty) and gives a boolean each."""

@@ -13,7 +13,9 @@ are dealt out again by more exact bits.
 Defined results: a null text, or one without words, has fingerprint 0 and
 links like any other; rows with equal doc_id stay separate rows; a null doc_id
 never names a component unless all its members' are null; an empty table
-gives no rows.
+gives no rows. ``keep_one`` keeps one row of each component: one that has the
+doc_id which names it, of several texts under it that of the least hash, and of
+repeated rows any one.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from .components import connected_components
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
-GROUP = 1 << 20         # fingerprints of one key that a task compares
+GROUP = 1 << 14         # fingerprints of one key that a task compares
 DENSE = 8               # larger groups are searched, smaller ones compared pairwise
 ALL = (1 << 64) - 1
 KEYS = "key long, mask long, fp long"
@@ -61,14 +63,16 @@ def _fingerprints(width: int):
         for part in shared.text_slices(batches):
             texts = part.column("text").cast(pa.binary()).to_pylist()
             fp = np.array([fingerprint(t, width) for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp.view(np.int64))],
-                                             names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("mark"), pa.array(fp.view(np.int64))],
+                                             names=["doc_id", "mark", "fp"])
     return run
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint's 64 bits as a long."""
-    return shared.id_text(docs).mapInArrow(_fingerprints(width), "doc_id long, fp long")
+    """(doc_id, mark, fp): the fingerprint's 64 bits as a long; ``mark`` tells
+    the texts of one doc_id apart."""
+    return shared.id_text(docs).withColumn("mark", F.xxhash64("text")).mapInArrow(
+        _fingerprints(width), "doc_id long, mark long, fp long")
 
 
 def _mix(*parts) -> np.ndarray:
@@ -222,23 +226,27 @@ def near_links(nodes: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP) -
             return found
 
 
-def near_duplicates(docs: DataFrame, width: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row."""
+def components(docs: DataFrame, width: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """(doc_id, mark, fp, root, component_id) of every row: ``root`` is one
+    fingerprint of the component, ``component_id`` its smallest doc_id."""
     marked = shared.stored(fingerprints(docs, width), "simhash")
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = connected_components(near_links(nodes, max_bits))
     nodes = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     named = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = nodes.join(named, "root").select(F.col("fp").alias("node_fp"), "component_id")
-    return marked.join(named, marked["fp"] == named["node_fp"]).select(
+    named = nodes.join(named, "root").select(F.col("fp").alias("node_fp"), "root", "component_id")
+    return marked.join(named, marked["fp"] == named["node_fp"]).select("doc_id", "mark", "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, width: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row."""
+    return components(docs, width, max_bits).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose doc_id names their component:
-    one document of each group of near duplicates."""
-    found = near_duplicates(docs)
-    stay = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("__stay")).distinct())
-    return docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(stay["__stay"]), "left_semi")
+    """One row, all columns, of each group of near duplicates."""
+    found = components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = found.groupBy("root", "component_id").agg(F.min("mark").alias("mark"))
+    return shared.rows_marked(docs, stay.select(F.col("component_id").alias("doc_id"), "mark"))
