@@ -2,7 +2,9 @@
 
 import random
 import re
+import time
 
+import duckdb
 import pytest
 
 from trialscope.llm import licenses
@@ -83,3 +85,48 @@ def test_passages_stay_native(spark):
     assert licenses.license_passages(fx.docs(spark, [])).count() == 0
     plan = licenses.license_passages(fx.docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_many_equal_notices_in_one_text(spark):
+    """Time follows the words, not their square."""
+    text = "\n".join([MIT] * 80)
+    begin = time.time()
+    got = licenses.license_passages(fx.docs(spark, [fx.row(1, text)])).collect()
+    assert time.time() - begin < 12
+    assert len(got) == 80 and all(r.license == "MIT" and r.dice == 1.0 for r in got)
+
+
+def test_the_second_version_of_a_licence_is_told_apart(spark):
+    notice = next(t for name, t in licenses.TEMPLATES if name == "GPL-2.0" and len(t) > 100)
+    (unit, passage) = sorted(licenses.license_notices(fx.docs(spark, [fx.row(1, notice)])).collect(), key=lambda r: r.unit)
+    assert (unit.unit, unit.license, passage.unit, passage.license) == ("line", "GPL-2.0", "passage", "GPL-2.0")
+
+
+def test_notices_are_units_and_passages(spark):
+    rows = [fx.row(1, PROSE), fx.row(2, MIT_HEADER), fx.row(3, "x\n" + BSD2), fx.row(4, None)]
+    docs = fx.docs(spark, rows)
+    got = [tuple(r) for r in licenses.license_notices(docs).collect()]
+    units = [(*r[:3], None, None, *r[3:]) for r in licenses.license_scan(docs).collect()]
+    runs = [(r[0], "passage", None, *r[1:]) for r in licenses.license_passages(docs).collect()]
+    assert sorted(got, key=str) == sorted(units + runs, key=str) and units and len(runs) == 3
+
+
+def test_oracle_of_notices(spark, scratch):
+    """The whole SQL, on the driver's documents and on noisy notices."""
+    from trialscope.llm import oracles
+    from trialscope.testing.compare import compare, duck
+    sql = oracles.license_notices(licenses.TEMPLATES, licenses.LEAST)
+    sf = "/root/testdata/sf0.001"
+    result = compare(licenses.license_notices(spark.read.parquet(f"{sf}/documents.parquet")), duck(sf), sql)
+    assert result["ok"] and result["types_match"], result
+    rng = random.Random(3)
+    notices = [t for _, t in licenses.TEMPLATES]
+    noisy = lambda t: " ".join(w for w in t.split() if rng.random() > 0.05)
+    rows = [(k, " ".join([noisy(t), fx.prose(rng, 20), noisy(rng.choice(notices)), noisy(t)])) for k, t in enumerate(notices)]
+    rows += [(7, None), (8, PROSE), (8, PROSE), (9, MIT_HEADER[:1500]), (10, (notices[1] + " ") * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.coalesce(1).write.parquet(f"{scratch}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{scratch}/documents.parquet/*.parquet'")
+    result = compare(licenses.license_notices(docs), con, sql)
+    assert result["ok"], result

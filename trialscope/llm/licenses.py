@@ -16,6 +16,8 @@ it may begin at every bigram that the template has, and ends where its Dice
 coefficient is greatest. Every template's bigrams are found in chunks of the
 text, and only chunks that hold enough of one template are looked at closer.
 Of passages that overlap the best stays, then the best of the others, and so on.
+Inside a chunk a bigram is a hash of which one bit says whether the template
+has it, so runs are arrays of longs and no bigram is compared as text twice.
 
 Defined results: a null or empty text, or a unit of one word, has no bigram
 and no match; a unit that matches several templates gets the best, of equals
@@ -68,6 +70,9 @@ TEMPLATES = (
      "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
      "your option) any later version."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+     "General Public License as published by the Free Software Foundation; either version 2 of the License, or (at "
+     "your option) any later version."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of "
@@ -152,15 +157,17 @@ def license_passages(docs: DataFrame, least: float = LEAST, templates=TEMPLATES,
     """(doc_id, first_word, last_word, license, dice): the passages of each
     text, words counted from 0."""
     low, high = least / (2 - least), (2 - least) / least
-    known, longest, fewest, rows = set(), 1, 1 << 30, []
+    longest, fewest, rows, sets = 1, 1 << 30, [], []
     for name, body in templates:
         pairs = [" ".join(p) for p in _python_pairs(body)]
         own = sorted(set(pairs))
         if own:
             need, span = math.ceil(low * len(own) - 1e-9), math.floor(high * len(pairs) + 1e-9)
-            known, longest, fewest = known | set(own), max(longest, span), min(fewest, need)
-            rows.append(F.struct(F.lit(name).alias("license"), F.array(*map(F.lit, own)).alias("set"),
-                                 F.lit(need).alias("need"), F.lit(span).alias("span")))
+            longest, fewest = max(longest, span), min(fewest, need)
+            rows.append(F.struct(F.lit(len(sets)).alias("k"), F.lit(name).alias("license"), F.array(*map(F.lit, own)).alias("set"),
+                                 F.lit(need).alias("need"), F.lit(span).alias("span"), F.lit(len(own)).alias("size")))
+            sets.append(own)
+    known = sorted({x for own in sets for x in own})
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("body"))
     text = text.select("doc_id", F.xxhash64("body").alias("mark"), _pairs(F.col("body")).alias("seq"))
@@ -169,34 +176,45 @@ def license_passages(docs: DataFrame, least: float = LEAST, templates=TEMPLATES,
     # holds the whole of every passage that begins in its first ``chunk`` words.
     def cut(at: Column) -> Column:
         part = F.slice("seq", at + 1, chunk + longest)
-        hits = F.filter(part, lambda x: x.isin(sorted(known)))
+        hits = F.filter(part, lambda x: x.isin(known))
         return F.struct(at.alias("at"), part.alias("part"), F.array_distinct(hits).alias("hits"))
 
     begins = F.sequence(F.lit(0), F.greatest(F.size("seq") - 1, F.lit(0)), F.lit(chunk))
     chunks = text.select("doc_id", "mark", F.explode(F.transform(begins, cut)).alias("c")).select("doc_id", "mark", "c.*")
     able = F.filter(F.array(*rows), lambda t: F.size(F.array_intersect(t["set"], F.col("hits"))) >= t["need"])
-    close = chunks.where(F.size("hits") >= fewest).select("doc_id", "mark", "at", "part", F.explode(able).alias("t"))
+
+    def has(t: Column, x: Column) -> Column:
+        out = F.when(t["k"] == 0, x.isin(sets[0]))
+        for k, own in enumerate(sets[1:], 1):
+            out = out.when(t["k"] == k, x.isin(own))
+        return out.cast("long")
+
+    # the lowest bit of a code says whether the template has the bigram
+    code = lambda t: F.struct(*(t[c].alias(c) for c in ("license", "need", "span", "size")), F.transform(
+        "part", lambda x: F.xxhash64(x).bitwiseAND(-2).bitwiseOR(has(t, x))).alias("codes"))
+    close = (chunks.where(F.size("hits") >= fewest)
+             .select("doc_id", "mark", "at", F.explode(F.transform(able, code)).alias("t")))
+    hit = lambda v: v.bitwiseAND(1) == 1
 
     # a beginning is a hit, and enough hits lie within the span from there
-    places = F.transform(F.filter(F.transform("part", lambda x, i: F.struct(i.alias("i"), x.alias("x"))),
-                                  lambda s: s["x"].isin(sorted(known)) & F.array_contains(F.col("t.set"), s["x"])),
-                         lambda s: s["i"])
-    ahead = F.zip_with(places, F.slice(places, F.col("t.need"), F.size("part")),
+    places = F.transform(F.filter(F.transform("t.codes", lambda v, i: F.struct(i.alias("i"), v.alias("v"))),
+                                  lambda s: hit(s["v"])), lambda s: s["i"])
+    ahead = F.zip_with(places, F.slice(places, F.col("t.need"), F.size("t.codes")),
                        lambda p, q: F.struct(p.alias("p"), q.alias("q")))
     ahead = F.filter(ahead, lambda s: (s["q"] - s["p"] < F.col("t.span")) & (s["p"] < chunk))
-    runs = F.transform(ahead, lambda s: F.struct(s["p"].alias("p"), F.slice("part", s["p"] + 1, F.col("t.span")).alias("run")))
-    runs = close.select("doc_id", "mark", "at", "t", F.explode(runs).alias("r"))
+    runs = F.transform(ahead, lambda s: F.struct(s["p"].alias("p"), F.slice("t.codes", s["p"] + 1, F.col("t.span")).alias("run")))
+    runs = close.select("doc_id", "mark", "at", "t.license", "t.size", F.explode(runs).alias("r"))
 
     # Up to the e-th distinct hit, the i-th distinct bigram, |A| is i and |A n B| is e.
-    hits = F.filter(F.transform(F.array_distinct("r.run"), lambda x, i: F.struct((i + 1).alias("i"), x.alias("x"))),
-                    lambda s: F.array_contains(F.col("t.set"), s["x"]))
-    ends = F.transform(hits, lambda s, e: F.struct((-2.0 * (e + 1) / (s["i"] + F.size("t.set"))).alias("worst"),
-                                                   s["i"].alias("i"), s["x"].alias("x")))
-    best = runs.select("doc_id", "mark", "at", "t.license", "r.p", "r.run", F.explode(F.array(F.array_min(ends))).alias("b"))
+    hits = F.filter(F.transform(F.array_distinct("r.run"), lambda v, i: F.struct((i + 1).alias("i"), v.alias("v"))),
+                    lambda s: hit(s["v"]))
+    ends = F.transform(hits, lambda s, e: F.struct((-2.0 * (e + 1) / (s["i"] + F.col("size"))).alias("worst"),
+                                                   s["i"].alias("i"), s["v"].alias("v")))
+    best = runs.select("doc_id", "mark", "at", "license", "r.p", "r.run", F.explode(F.array(F.array_min(ends))).alias("b"))
     first = F.col("at") + F.col("p")
     found = best.where(F.col("b.worst") <= -least + 1e-9).select("doc_id", "mark", F.struct(
         F.col("b.worst").alias("worst"), "license", first.alias("first"),
-        (first + F.array_position("run", F.col("b.x")).cast("int")).alias("last")).alias("f"))
+        (first + F.array_position("run", F.col("b.v")).cast("int")).alias("last")).alias("f"))
 
     every = found.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set("f")).alias("every"))
     apart = F.aggregate("every", F.slice("every", 1, 0), lambda kept, x: F.when(
@@ -207,6 +225,18 @@ def license_passages(docs: DataFrame, least: float = LEAST, templates=TEMPLATES,
         (-F.col("f.worst")).alias("dice"))
 
 
+def license_notices(docs: DataFrame, least: float = LEAST, templates=TEMPLATES) -> DataFrame:
+    """(doc_id, unit, unit_no, first_word, last_word, license, dice): units
+    (line, paragraph, text; without word places) and passages (without a unit
+    number) together."""
+    none = F.lit(None).cast("int")
+    units_found = license_scan(docs, least, templates).select(
+        "doc_id", "unit", "unit_no", none.alias("first_word"), none.alias("last_word"), "license", "dice")
+    return units_found.unionByName(license_passages(docs, least, templates).select(
+        "doc_id", F.lit("passage").alias("unit"), none.alias("unit_no"), F.col("first_word").cast("int").alias("first_word"),
+        F.col("last_word").cast("int").alias("last_word"), "license", "dice"))
+
+
 def _python_pairs(text: str) -> list[tuple[str, str]]:
     words = "".join(c if c.isascii() and c.isalnum() else " " for c in text).lower().split()
     return list(zip(words, words[1:]))

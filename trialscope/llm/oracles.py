@@ -57,6 +57,70 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, unit, unit_no ORDER BY dice DESC
 """
 
 
+def license_notices(templates, least: float) -> str:
+    """The units, and every run of words that begins and ends at a template's
+    bigram: distinct bigrams are counted by their last place before."""
+    units = license_scan(templates, least).strip()
+    rows = ",\n  ".join("({}, '{}', '{}')".format(k, name, text.replace("'", "''"))
+                        for k, (name, text) in enumerate(templates))
+    words = "list_filter(string_split(lower(regexp_replace({}, '[^A-Za-z0-9]+', ' ', 'g')), ' '), lambda w: w <> '')"
+    pairs = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
+    return f"""
+WITH unit_rows AS ({units}),
+pt AS MATERIALIZED (
+  SELECT template, license, len(b) AS pairs, len(list_distinct(b)) AS size, list_distinct(b) AS b
+  FROM (SELECT template, license, {pairs} AS b
+        FROM (SELECT template, license, {words.format('body')} AS w FROM (VALUES {rows}) AS v(template, license, body)))
+),
+tb AS MATERIALIZED (
+  SELECT template, license, size, unnest(b) AS pair, CAST(floor({2 - least} / {least} * pairs + 1e-9) AS BIGINT) AS span,
+         CAST(ceil({least} / {2 - least} * size - 1e-9) AS BIGINT) AS need FROM pt
+),
+pd AS MATERIALIZED (SELECT row_number() OVER () AS d, doc_id, text FROM (SELECT DISTINCT doc_id, text FROM documents)),
+ps AS MATERIALIZED (
+  SELECT d, i, pair, lag(i) OVER (PARTITION BY d, pair ORDER BY i) AS prev
+  FROM (SELECT d, unnest(b) AS pair, unnest(range(len(b))) AS i
+        FROM (SELECT d, {pairs} AS b FROM (SELECT d, {words.format('text')} AS w FROM pd)))
+),
+ph AS MATERIALIZED (
+  SELECT *, lead(i, CAST(need - 1 AS INTEGER)) OVER (PARTITION BY d, template ORDER BY i) AS reach
+  FROM ps JOIN tb USING (pair)
+),
+starts AS MATERIALIZED (SELECT * FROM ph WHERE reach - i < span),
+runs AS MATERIALIZED (
+  SELECT s.d, s.template, s.license, s.size, s.i AS a, e.i AS z
+  FROM starts s JOIN ph e ON e.d = s.d AND e.template = s.template AND e.i >= s.i AND e.i < s.i + s.span
+),
+own AS (
+  SELECT r.d, r.template, r.a, r.z, count(*) AS n
+  FROM runs r JOIN ps k ON k.d = r.d AND k.i >= r.a AND k.i <= r.z WHERE coalesce(k.prev, -1) < r.a GROUP BY ALL
+),
+common AS (
+  SELECT r.d, r.template, r.a, r.z, count(*) AS n
+  FROM runs r JOIN ph k ON k.d = r.d AND k.template = r.template AND k.i >= r.a AND k.i <= r.z
+  WHERE coalesce(k.prev, -1) < r.a GROUP BY ALL
+),
+found AS (
+  SELECT DISTINCT d, {{'worst': -dice, 'license': license, 'first': a, 'last': z + 1}} AS f
+  FROM (SELECT r.*, 2.0::DOUBLE * c.n / (o.n + r.size) AS dice
+        FROM runs r JOIN own o USING (d, template, a, z) JOIN common c USING (d, template, a, z))
+  WHERE dice >= {least} - 1e-9
+  QUALIFY row_number() OVER (PARTITION BY d, template, a ORDER BY dice DESC, z) = 1
+),
+apart AS (
+  SELECT d, unnest(list_reduce(list([f] ORDER BY f), lambda kept, x: CASE
+    WHEN len(list_filter(kept, lambda y: y.first <= x[1].last AND x[1].first <= y.last)) > 0 THEN kept
+    ELSE list_concat(kept, x) END)) AS f
+  FROM found GROUP BY d
+)
+SELECT doc_id, unit, unit_no, CAST(NULL AS INTEGER) AS first_word, CAST(NULL AS INTEGER) AS last_word, license, dice
+FROM unit_rows
+UNION ALL
+SELECT doc_id, 'passage', NULL, CAST(f.first AS INTEGER), CAST(f.last AS INTEGER), f.license, -f.worst
+FROM apart JOIN pd USING (d)
+"""
+
+
 def centroid_clusters(k: int, rounds: int, salt: str) -> str:
     """Lloyd's rounds in long form, every squared distance afresh; the kept
     vectors get a row number, as a vec_id may repeat."""

@@ -37,11 +37,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_scan(_docs(spark, sf_dir))
-
-
-def op3_license_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_passages(_docs(spark, sf_dir))
+    return licenses.license_notices(_docs(spark, sf_dir))
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +87,6 @@ def queries() -> dict[str, Query]:
         "op1_sentence_pieces": op1_sentence_pieces,
         "op2_token_counts": op2_token_counts,
         "op3_license_scan": op3_license_scan,
-        "op3_license_passages": op3_license_passages,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_toxicity": op5_toxicity,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
@@ -107,7 +102,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     out = {
-        "op3_license_scan": oracles.license_scan(licenses.TEMPLATES, licenses.LEAST),
+        "op3_license_scan": oracles.license_notices(licenses.TEMPLATES, licenses.LEAST),
         "op10_exact_dedup": oracles.EXACT_DUPLICATES,
         "op11_centroid_clusters": oracles.centroid_clusters(centroids.CENTROIDS, centroids.ROUNDS, centroids.SALT),
         "op12_merkle_manifest": oracles.merkle_manifest(merkle.FAN),
