@@ -102,6 +102,127 @@ def test_crf_learns_emissions_and_moves():
     assert (quality_rules.viterbi(quality_rules.fit_crf([]), docs[0][0]) == 1).all()
 
 
+def plain_line_features(lines):
+    seen, out = set(), []
+    for line in lines:
+        text = line.decode()
+        words = WORD.findall(text)
+        n, size = len(words), max(1, len(line))
+        share = lambda cls: len(re.findall(cls, text))
+        values = (n, share(r"[#*$%&|<>]") / max(1, n), text.count("!") / max(1, n), share("[A-Z]") / size,
+                  sum(a == b for a, b in zip(words, words[1:])) / max(1, n), len(set(words)) / n if n > 7 else 1.0,
+                  share("[0-9]") / size, float(n > 0 and line in seen),
+                  float(bool(re.search(r"[.!?][ \t\n\x0b\x0c\r]*$", text))), size / max(1, n))
+        seen |= {line} if n else set()
+        at = 0
+        row = []
+        for v, (_, bounds) in zip(values, quality_rules.LINE_BINS):
+            row.append(at + sum(v > b for b in bounds))
+            at += len(bounds) + 1
+        out.append((row, n))
+    return out
+
+
+def test_line_features():
+    texts = [t or "" for t in fx.texts()] + ["!! a a a B7 #|", "x\nx\n \n\nEnd.  \r\nA b c d e f g h a a", "\n"]
+    for text in texts:
+        lines = text.encode().split(b"\n")
+        feats, words = quality_rules.line_features(lines)
+        assert [(f, w) for f, w in zip(feats.tolist(), words.tolist())] == plain_line_features(lines)
+
+
+def test_expected_counts_equal_the_sum_over_all_paths():
+    rng = np.random.default_rng(5)
+    model = {k: np.array(v) for k, v in model_of(rng).items()}
+    size = np.array([6, 3, 3, 1])
+    feats = rng.integers(0, quality_rules.WIDTH, (int(size.sum()), len(quality_rules.LINE_BINS)))
+    want = {k: np.zeros_like(v) for k, v in model.items()}
+    logs = []
+    for a, n in zip(np.cumsum(size) - size, size):
+        paths = list(itertools.product((0, 1), repeat=int(n)))
+        weight = np.exp([path_score(model, feats[a:a + n], p) for p in paths])
+        logs.append(np.log(weight.sum()))
+        for p, w in zip(paths, weight / weight.sum()):
+            want["first"][p[0]] += w
+            for f, s in zip(feats[a:a + n], p):
+                np.add.at(want["emit"][:, s], f, w)
+            for s, t in zip(p, p[1:]):
+                want["move"][s, t] += w
+    got, total = quality_rules.expected(model, feats, size)
+    assert np.allclose(total, logs) and all(np.allclose(got[k], want[k]) for k in want)
+
+
+def held_out_texts():
+    import duckdb
+    sf = "/root/testdata/sf0.1"
+    rows = duckdb.sql(f"SELECT doc_id, text, quality FROM '{sf}/documents.parquet' JOIN '{sf}/labels.parquet' "
+                      "USING (doc_id) WHERE quality IS NOT NULL ORDER BY 1").fetchall()
+    return [(t, y) for i, t, y in rows if held(i)]
+
+
+def test_mixed_documents_of_the_held_out_fold(spark):
+    """Whole texts of one label inside texts of the other: both kinds of lines
+    are found, and `kept` agrees with the labels of texts as they are."""
+    sf = "/root/testdata/sf0.1"
+    model = quality_rules.fit(*(spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels")))
+    rows = held_out_texts()
+    kept = [[quality_rules.verdict(t.encode(), model)[5:7] for t, y in rows if y == kind] for kind in (0, 1)]
+    passed = [k for failed, k in kept[1] if not failed]
+    assert len(passed) > 500 and np.mean(passed) > 0.98 and np.mean([k for _, k in kept[0]]) < 0.05
+    bad, good = ([t.encode().split(b"\n") for t, y in rows if y == kind] for kind in (0, 1))
+    rng, right, lines, one_state = np.random.default_rng(5), [0, 0], [0, 0], 0
+    for k, g in enumerate(good):
+        pair = [(bad[k % len(bad)], 0), (g, 1)]
+        (host, own), (guest, other) = pair if rng.random() < 0.5 else pair[::-1]
+        at = int(rng.integers(0, len(host) + 1))
+        want = np.array([own] * at + [other] * len(guest) + [own] * (len(host) - at))
+        feats, words = quality_rules.line_features(host[:at] + guest + host[at:])
+        got = quality_rules.viterbi(model, feats)
+        for s in (0, 1):
+            mine = (want == s) & (words > 0)
+            right[s] += int((got[mine] == s).sum())
+            lines[s] += int(mine.sum())
+        one_state += len(set(got[words > 0].tolist())) == 1
+    assert right[0] / lines[0] > 0.9 and right[1] / lines[1] > 0.95
+    assert one_state < 0.12 * len(good)
+
+
+def test_the_fit_leaves_out_whole_texts_that_do_not_fit():
+    long = b"a line of a long text\n" * (quality_rules.MOST_LINES + 1)
+    texts = [b"one line", b"two\nlines", long, long * 200]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array([1, 0, 1, 0]), pa.array([t.decode() for t in texts])],
+                                       names=["doc_id", "label", "text"])
+    rows = [r for b in quality_rules._sampled(iter([batch])) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["label"]) for r in rows] == [(1, 1), (2, 0)]
+
+
+@pytest.mark.parametrize("budget", [0, 9, 20, 1000])
+def test_a_budget_takes_whole_documents_in_hash_order(spark, budget):
+    from trialscope.llm.labelled import hash_order, within_budget
+    from pyspark.sql import functions as F
+    rows = [(k, "x" * (1 + k % 5)) for k in range(8)] + [(3, "yy")]
+    got = within_budget(spark.createDataFrame(rows, "doc_id long, t string"), F.length("t"), budget)
+    taken, free = set(), budget
+    for i in sorted(range(8), key=hash_order):
+        n = sum(len(t) for j, t in rows if j == i)
+        if n <= free:
+            taken.add(i)
+            free -= n
+    assert sorted(map(tuple, got.collect())) == sorted(r for r in rows if r[0] in taken)
+
+
+def test_splices_keep_lines_and_labels_together():
+    rng = np.random.default_rng(8)
+    mark = lambda y, n: (np.full((n, 2), y * 100) + np.arange(n)[:, None], np.full(n, y))
+    docs = [mark(int(rng.integers(0, 2)), int(rng.integers(1, 9))) for _ in range(30)]
+    made = quality_rules.splices(docs)
+    pairs = min(sum(y[0] == k for _, y in docs) for k in (0, 1))
+    assert len(made) == 2 * pairs and pairs > 5
+    for x, y in made:
+        assert (x[:, 0] // 100 == y).all() and len(set(y)) == 2
+        assert (np.abs(np.diff(y)).sum()) <= 2
+
+
 def test_gam_learns_shapes_and_a_pair():
     rng = np.random.default_rng(2)
     x = np.zeros((6000, len(text_stats.FEATURES)))

@@ -3,6 +3,8 @@ hash-drawn sample of the rest."""
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,3 +30,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, sample: int
     # about ``sample`` rows of 12 bytes at most, whatever the corpus: a broadcast,
     # so that no text is shuffled to find the labelled ones
     return shared.id_text(docs).join(F.broadcast(rows), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "label")
+
+
+def hash_order(doc_id: int) -> tuple[int, int]:
+    """The order in which labelled documents are taken."""
+    return zlib.crc32(b"order%d" % doc_id), doc_id
+
+
+def within_budget(rows: DataFrame, size: Column, budget: int) -> DataFrame:
+    """The rows (doc_id, ...) of the documents that fit into ``budget``, in
+    hash order: a document whose rows together do not fit is left out, whole.
+    ``rows`` is a written table of a bounded number of doc_ids."""
+    sizes = rows.groupBy("doc_id").agg(F.sum(size).alias("n")).collect()
+    if sum(r.n for r in sizes) <= budget:
+        return rows
+    taken = []
+    for r in sorted(sizes, key=lambda r: hash_order(r.doc_id)):
+        if r.n <= budget:
+            taken.append((r.doc_id,))
+            budget -= r.n
+    ids = rows.sparkSession.createDataFrame(taken, "doc_id long")
+    return rows.join(F.broadcast(ids), "doc_id", "left_semi")

@@ -5,8 +5,14 @@ field then labels every line as content or boilerplate: Viterbi decoding over
 the lines' features, and the share of words in content lines decides.
 
 The field is trained here by conditional likelihood (forward and backward
-passes, Adam) on the lines of at most about ``SAMPLE`` labelled documents
-outside the held-out fold; a line's label is its document's quality.
+passes, Adam) on labelled documents outside the held-out fold; a line's label
+is its document's quality. Documents of one label never show it where content
+ends and boilerplate begins, so it also learns from splices: lines of a bad
+document put between those of a good one, and the other way round, each line
+with the label of the document it came from. The sample is bounded and taken
+whole text by whole text: about ``SAMPLE`` documents by a hash, of these the
+ones of at most ``MOST_LINES`` lines, in hash order as long as ``LINES`` lines
+are not exceeded. A text that does not fit is left out of the fit alone.
 
 Defined results: a null or empty text has no words and fails the rules; lines
 without a word take part in the sequence but count no words; without usable
@@ -23,11 +29,13 @@ from operator import eq
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import shared, text_stats
-from .labelled import labelled_sample
+from .labelled import hash_order, labelled_sample, within_budget
 
 SAMPLE = 4_000
+MOST_LINES, LINES = 512, 1 << 17
 CONTENT_SHARE = 0.5
 LEAST_WORDS, MOST_REPEATED = 20, 30
 STEPS, RATE, RIDGE = 120, 0.1, 1e-3
@@ -66,42 +74,66 @@ def _logsum(a: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(a - top).sum(axis=axis))
 
 
-def fit_crf(docs: list[tuple[np.ndarray, int]]) -> dict:
+def splices(docs: list[tuple[np.ndarray, np.ndarray]], seed: int = 1) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Every good document with a part of a bad one inside and the reverse, as
+    long as there are pairs: (line features, label of each line)."""
+    rng, out = np.random.default_rng(seed), []
+    kinds = [[d for d in docs if d[1][0] == y] for y in (0, 1)]
+    for pair in zip(*kinds):
+        for (host, own), (guest, other) in (pair, pair[::-1]):
+            at, n = int(rng.integers(0, len(host) + 1)), int(rng.integers(1, len(guest) + 1))
+            begin = int(rng.integers(0, len(guest) - n + 1))
+            out.append(tuple(np.concatenate([x[:at], y[begin:begin + n], x[at:]]) for x, y in ((host, guest), (own, other))))
+    return out
+
+
+def expected(model: dict, feats: np.ndarray, size: np.ndarray) -> tuple[dict, np.ndarray]:
+    """Expected counts of (feature, state), (state, state) and first states
+    over the paths of documents laid end to end, the longest first, and each
+    document's log partition. Steps run over all documents that reach a line."""
+    begin = np.cumsum(size) - size
+    reach = [int((size > t).sum()) for t in range(size[0])]
+    score = model["emit"][feats].sum(axis=1)
+    fore, back = np.zeros((len(feats), 2)), np.zeros((len(feats), 2))
+    fore[begin] = score[begin] + model["first"]
+    for t in range(1, len(reach)):
+        at = begin[:reach[t]] + t
+        fore[at] = score[at] + _logsum(fore[at - 1][:, :, None] + model["move"], 1)
+    total = _logsum(fore[begin + size - 1], 1)
+    norm, move = np.repeat(total, size), np.zeros((2, 2))
+    for t in range(len(reach) - 1, 0, -1):
+        at = begin[:reach[t]] + t
+        after = (score[at] + back[at])[:, None, :] + model["move"]
+        back[at - 1] = _logsum(after, 2)
+        move += np.exp(fore[at - 1][:, :, None] + after - norm[at][:, None, None]).sum(axis=0)
+    state = np.exp(fore + back - norm[:, None])
+    emit = np.stack([np.bincount(feats.reshape(-1), np.repeat(state[:, s], feats.shape[1]), WIDTH)
+                     for s in (0, 1)], axis=1)
+    return {"emit": emit, "move": move, "first": state[begin].sum(axis=0)}, total
+
+
+def fit_crf(docs: list[tuple[np.ndarray, int | np.ndarray]]) -> dict:
     """Weights (feature by state), moves (state to state) and first states,
-    for documents given as (line features, label of all its lines)."""
+    for documents given as (line features, label of each or of all lines)."""
     model = {"emit": np.zeros((WIDTH, 2)), "move": np.zeros((2, 2)), "first": np.zeros(2)}
-    if len({label for _, label in docs}) == 2:
+    docs = [(x, np.broadcast_to(np.asarray(y, np.int64), len(x))) for x, y in docs]
+    if len({int(y) for _, ys in docs for y in np.unique(ys)}) == 2:
         docs = sorted(docs, key=lambda d: -len(d[0]))  # those that reach line t are a prefix
         size = np.array([len(x) for x, _ in docs])
-        label = np.array([y for _, y in docs])
-        reach = [int((size > t).sum()) for t in range(size[0])]
         begin = np.cumsum(size) - size
         feats = np.concatenate([x for x, _ in docs])
-        gold = np.repeat(label, size)
+        gold = np.concatenate([y for _, y in docs])
+        later = np.ones(len(gold), bool)
+        later[begin] = False
+        later = np.flatnonzero(later)
         want = {"emit": np.stack([np.bincount(feats[gold == s].reshape(-1), minlength=WIDTH) for s in (0, 1)], axis=1),
-                "move": np.diag([(size - 1)[label == s].sum() for s in (0, 1)]),
-                "first": np.bincount(label, minlength=2)}
+                "move": np.bincount(2 * gold[later - 1] + gold[later], minlength=4).reshape(2, 2),
+                "first": np.bincount(gold[begin], minlength=2)}
         lines = len(feats)
         mean = {k: np.zeros(v.shape) for k, v in model.items()}
         square = {k: np.zeros(v.shape) for k, v in model.items()}
         for step in range(1, STEPS + 1):
-            score = model["emit"][feats].sum(axis=1)
-            fore, back = np.zeros((lines, 2)), np.zeros((lines, 2))
-            fore[begin] = score[begin] + model["first"]
-            for t in range(1, len(reach)):
-                at = begin[:reach[t]] + t
-                fore[at] = score[at] + _logsum(fore[at - 1][:, :, None] + model["move"], 1)
-            got = {"move": np.zeros((2, 2))}
-            norm = np.repeat(_logsum(fore[begin + size - 1], 1), size)
-            for t in range(len(reach) - 1, 0, -1):
-                at = begin[:reach[t]] + t
-                after = (score[at] + back[at])[:, None, :] + model["move"]
-                back[at - 1] = _logsum(after, 2)
-                got["move"] += np.exp(fore[at - 1][:, :, None] + after - norm[at][:, None, None]).sum(axis=0)
-            state = np.exp(fore + back - norm[:, None])
-            got["first"] = state[begin].sum(axis=0)
-            got["emit"] = np.stack([np.bincount(feats.reshape(-1), np.repeat(state[:, s], feats.shape[1]), WIDTH)
-                                    for s in (0, 1)], axis=1)
+            got, _ = expected(model, feats, size)
             for k in model:
                 slope = (want[k] - got[k]) / lines - RIDGE * model[k]
                 mean[k] = 0.9 * mean[k] + 0.1 * slope
@@ -143,23 +175,28 @@ def verdict(raw: bytes, model: dict) -> tuple:
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in shared.text_slices(batches):
-        rows = [line_features(t.split(b"\n"))[0].reshape(-1).astype(np.int16)
-                for t in part.column("text").cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), part.column("label"), pa.array(rows, pa.list_(pa.int16()))],
-            names=["doc_id", "label", "x"])
+        texts = part.column("text").cast(pa.binary()).to_pylist()
+        short = np.array([t.count(b"\n") < MOST_LINES for t in texts], bool)
+        rows = [line_features(t.split(b"\n"))[0].astype("<i2").tobytes() for t, s in zip(texts, short) if s]
+        ids, labels = (part.column(c).filter(pa.array(short)) for c in ("doc_id", "label"))
+        yield pa.RecordBatch.from_arrays([ids, labels, pa.array(rows, pa.binary())], names=["doc_id", "label", "x"])
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = sorted((r["doc_id"], r["label"], r["x"]) for b in batches for r in b.to_pylist())
-    model = fit_crf([(np.array(x, np.int64).reshape(-1, len(LINE_BINS)), y) for _, y, x in rows])
-    yield pa.RecordBatch.from_arrays([pa.array([json.dumps(model)])], names=["model"])
+    rows = sorted((hash_order(i), y, x) for b in batches
+                  for i, y, x in zip(*(b.column(c).to_pylist() for c in ("doc_id", "label", "x"))))
+    docs = []
+    for _, y, x in rows:
+        feats = np.frombuffer(x, "<i2").astype(np.int64).reshape(-1, len(LINE_BINS))
+        docs.append((feats, np.full(len(feats), y)))
+    yield pa.RecordBatch.from_arrays([pa.array([json.dumps(fit_crf(docs + splices(docs)))])], names=["model"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines: int = LINES) -> dict:
     """The field's weights, fitted by one task on the bounded sample."""
-    rows = labelled_sample(docs, labels, "quality", sample).mapInArrow(
-        _sampled, "doc_id long, label int, x array<short>")
+    rows = shared.stored(labelled_sample(docs, labels, "quality", sample).mapInArrow(
+        _sampled, "doc_id long, label int, x binary"), "crf-sample")
+    rows = within_budget(rows, F.octet_length("x") / (2 * len(LINE_BINS)), lines)
     return json.loads(rows.repartition(1).mapInArrow(_fit, "model string").first()[0])
 
 

@@ -7,7 +7,9 @@ that keeps few weights; these are broadcast (at most ``MAX_WEIGHTS``, checked)
 and every whole text is scored by numpy sums.
 
 The model is fitted on at most about ``SAMPLE`` labelled rows, drawn by a hash
-of doc_id; the rest of the corpus is only scored.
+of doc_id, and of these on as many, in hash order, as have ``BUDGET`` features
+together; a text that does not fit is left out of the fit, whole. The rest of
+the corpus is only scored.
 
 Defined results: a null or empty text is scored by the intercept; a null label
 is no label, and of several labels of a doc_id the largest counts; a null
@@ -17,7 +19,6 @@ score is the prior 0.5; an empty table gives no rows.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
-from .labelled import held_out, labelled_sample
+from .labelled import hash_order, held_out, labelled_sample, within_budget
 
 SAMPLE = 20_000        # labelled rows the model may be fitted on
+BUDGET = 1 << 26       # features of these rows, 256 MB in the task that fits
 BITS = 22              # 2**BITS hashed coordinates
 MAX_WEIGHTS = 1 << 18  # weights that may be broadcast, 3 MB; more are an error, none is dropped
 STEMS = (4, 5)
@@ -120,13 +122,13 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, ends = flat.flatten().to_numpy(), flat.offsets.to_numpy()
         ends = ends - ends[0]
         for i, (doc_id, label) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist())):
-            rows.append((zlib.crc32(b"order%d" % doc_id), doc_id, label, values[ends[i]:ends[i + 1]].copy()))
+            rows.append((hash_order(doc_id), label, values[ends[i]:ends[i + 1]].copy()))
     if not rows:
         return
-    rows.sort(key=lambda r: r[:2])
+    rows.sort(key=lambda r: r[0])
     model = Ftrl()
     for _ in range(EPOCHS):
-        for _, _, label, at in rows:
+        for _, label, at in rows:
             model.learn(at, label)
     w = model.weights()
     at = np.flatnonzero(w)
@@ -135,10 +137,12 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names=["feature", "weight"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", sample: int = SAMPLE) -> DataFrame:
+def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", sample: int = SAMPLE,
+        budget: int = BUDGET) -> DataFrame:
     """(feature, weight), the intercept under feature -1; fitted by one task
     over the bounded sample's hashed features, never over texts."""
-    rows = labelled_sample(docs, labels, target, sample).mapInArrow(_sampled, FEATURES)
+    rows = shared.stored(labelled_sample(docs, labels, target, sample).mapInArrow(_sampled, FEATURES), "ftrl-sample")
+    rows = within_budget(rows, F.size("features"), budget)
     return shared.stored(rows.repartition(1).mapInArrow(_fit, WEIGHTS), "ftrl")
 
 
