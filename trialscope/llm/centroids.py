@@ -153,11 +153,9 @@ class Clusters:
 def cluster_vectors(embeddings: DataFrame, k: int = CENTROIDS, rounds: int = ROUNDS, dim: int = COMPONENTS,
                     scale: int = SCALE, salt: str = SALT) -> Clusters:
     """Lloyd rounds on exact integers; then every vector is assigned once more."""
-    spark = embeddings.sparkSession
-    here = shared.scratch(spark, "vectors")
-    (embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-     .mapInArrow(_integers(dim, scale), VECTORS).write.parquet(here))
-    vectors = spark.read.schema(VECTORS).parquet(here)
+    vectors, here = shared.replaced(
+        embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+        .mapInArrow(_integers(dim, scale), VECTORS), "vectors")
     new = first_centroids(vectors, k, dim, salt)
     old = np.zeros_like(new)
     state = vectors.select("*", F.lit(bytes(8 * len(new))).alias("dots"))
@@ -165,10 +163,9 @@ def cluster_vectors(embeddings: DataFrame, k: int = CENTROIDS, rounds: int = ROU
         change = new - old
         if turn and not change.any():
             break
-        path = shared.scratch(spark, "distances")
-        state.mapInArrow(_update(change, (new * new).sum(axis=1)), STATE).write.parquet(path)
-        shared.remove(spark, here)
-        state, here, old = spark.read.schema(STATE).parquet(path), path, new
+        state, here = shared.replaced(
+            state.mapInArrow(_update(change, (new * new).sum(axis=1)), STATE), "distances", here)
+        old = new
         if turn < rounds and len(new):
             new = _means(state, old)
     return Clusters(state, old.tolist())

@@ -25,15 +25,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (x, y; x <> y): root is the
     smallest node reachable. Rounds go on until the edges no longer change;
-    each is written to the shared folder, and a node of many edges is a
-    partial minimum and a join, never a gathered group."""
-    edges = shared.stored(edges.distinct(), "links")
+    each is written to the shared folder, where it takes the place of the one
+    before, and a node of many edges is a partial minimum and a join, never a
+    gathered group."""
+    edges, path = shared.replaced(edges.distinct(), "links")
     mark = None
     while True:
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("x", "y"))).first()
         if state == mark or not state[0]:
             break
         mark = state
-        edges = shared.stored(_small_star(_large_star(edges)), "links")
+        edges, path = shared.replaced(_small_star(_large_star(edges)), "links", path)
     return (edges.select(F.col("x").alias("node"), F.col("y").alias("root"))
             .union(edges.select("y", "y")).distinct())

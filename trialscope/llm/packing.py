@@ -155,6 +155,8 @@ def merge_rounds(first: DataFrame, capacity: int = CAPACITY, full_slack: int = F
             F.col("bin").alias("item"), "fill")
         if tasks == 1:
             break
+    else:
+        raise RuntimeError("the tree of packing rounds is deeper than the numbers of its sequences allow")
     return where.select("bin", "root", "shift")
 
 

@@ -58,13 +58,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read back: cuts the lineage, so a
-    lost executor costs a reread and never another run of ``df``."""
+def replaced(df: DataFrame, name: str, old: str = "") -> tuple[DataFrame, str]:
+    """``stored``, with its path; then the table ``old``, from which ``df`` was
+    made and which nobody else reads, is removed."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if old:
+        remove(spark, old)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write once to the shared folder and read back: cuts the lineage, so a
+    lost executor costs a reread and never another run of ``df``."""
+    return replaced(df, name)[0]
 
 
 def remove(spark: SparkSession, path: str) -> None:
