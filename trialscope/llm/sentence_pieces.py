@@ -25,8 +25,9 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -34,32 +35,61 @@ from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2
 
 from . import shared
-from .tokens import MEMO_CHUNKS, UNSAFE, _Memo
+from .tokens import UNSAFE, _Memo
 
 MARK = "▁"
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 NEVER = float("inf")
-MEMO_BORDERS = 400_000  # borders between two pieces that a worker remembers
+MEMO_WORDS = 1_000_000    # words that a worker remembers before it starts afresh
+MEMO_BORDERS = 200_000  # borders between two pieces that a worker remembers
+
+
+class _Ends:
+    """The pieces of two characters and more that end at each place."""
+
+    def __init__(self, pieces: Iterable[str]):
+        self.longest, self.trie = 1, ahocorasick.Automaton()
+        for p in pieces:
+            if len(p) > 1:
+                self.trie.add_word(p, (len(p), p))
+                self.longest = max(self.longest, len(p))
+        if len(self.trie):
+            self.trie.make_automaton()
+
+    def after(self, word: str, known: int) -> list[tuple[int, tuple[int, str]]]:
+        """(last character, (length, piece)) of the pieces that end behind the
+        first ``known`` characters: by their ends, at one end the longest first."""
+        if not len(self.trie):
+            return []
+        found = self.trie.iter(word, max(0, known + 1 - self.longest))
+        return [f for f in found if f[0] >= known]
 
 
 class _Unigram:
-    """Forward state of a prefix: (best score, length of its last piece)."""
+    """Forward state of a prefix: (last piece, its length, best score)."""
 
     def __init__(self, score: dict[str, float], unknown: float):
         self.score, self.unknown = score, unknown
-        self.longest = max(map(len, score), default=1)
-
-    start = (0.0, 0)
-
-    def extend(self, word: str, i: int, states: list) -> tuple:
-        best, size = states[i - 1][0] + self.score.get(word[i - 1], self.unknown), 1
-        for n in range(2, min(self.longest, i) + 1):
-            s = self.score.get(word[i - n:i])
-            if s is not None and states[i - n][0] + s > best:
-                best, size = states[i - n][0] + s, n
-        return best, size
+        self.ends = _Ends(score)
+
+    start = ("", 0, 0.0)
+
+    def extend(self, word: str, known: int, states: list) -> None:
+        """The states of the prefixes longer than ``known``; of equal scores
+        the shortest last piece."""
+        found = self.ends.after(word, known)
+        p = 0
+        for i in range(known + 1, len(word) + 1):
+            best = (word[i - 1], 1, states[i - 1][2] + self.score.get(word[i - 1], self.unknown))
+            while p < len(found) and found[p][0] == i - 1:
+                n, piece = found[p][1]
+                total = states[i - n][2] + self.score[piece]
+                if total > best[2] or (total == best[2] and n < best[1]):
+                    best = (piece, n, total)
+                p += 1
+            states.append(best)
 
 
 class _Merges:
@@ -80,6 +110,7 @@ class _Merges:
                 self.right[piece] = [*self.right.get(b, [(b, 0.0)]), (piece, r)]
                 self.left[piece] = [*self.left.get(a, [(a, 0.0)]), (piece, r)]
         self.beside: dict[tuple[str, str], bool] = {}
+        self.ends = _Ends(self.right)
 
     start = ("", 0)
 
@@ -122,12 +153,35 @@ class _Merges:
             self.beside[key] = known
         return known
 
-    def extend(self, word: str, i: int, states: list) -> tuple:
-        for n in range(min(self.longest, i), 1, -1):
-            piece = word[i - n:i]
-            if piece in self.right and (n == i or self.fits(states[i - n][0], piece)):
-                return piece, n
-        return word[i - 1], 1
+    def extend(self, word: str, known: int, states: list) -> None:
+        """The states of the prefixes longer than ``known``: the longest last
+        piece that can stand beside the one before it."""
+        found, beside, p = self.ends.after(word, known), self.beside, 0
+        many = len(found)
+        for i in range(known + 1, len(word) + 1):
+            state = None
+            while p < many and found[p][0] < i:
+                if state is None:
+                    n, piece = found[p][1]
+                    if n == i:
+                        state = (piece, n)
+                    else:
+                        before = states[i - n][0]
+                        fits = beside.get((before, piece))
+                        if fits or (fits is None and self.fits(before, piece)):
+                            state = (piece, n)
+                p += 1
+            states.append(state or (word[i - 1], 1))
+
+
+def _shared(a: str, b: str) -> int:
+    """Length of the prefix that two words share."""
+    n = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        n += 1
+    return n
 
 
 class PieceCodec:
@@ -173,25 +227,26 @@ class PieceCodec:
         out: list[int] = []
         for p in pieces:
             i = self.id_of.get(p)
-            out += [i] if i is not None else self.byte_id[list(p.encode())].tolist()
+            if i is not None:
+                out.append(i)
+            else:
+                out += self.byte_id[list(p.encode())].tolist()
         return out
 
     def encode_sorted(self, words: list[str]) -> Iterator[list[str]]:
         """Pieces of each of the sorted words, walking their trie depth first."""
         walk, before, states = self.walk, "", [self.walk.start]
         for word in words:
-            shared_n, most = 0, min(len(before), len(word))
-            while shared_n < most and before[shared_n] == word[shared_n]:
-                shared_n += 1
+            shared_n = _shared(before, word)
             del states[shared_n + 1:]
-            for i in range(shared_n + 1, len(word) + 1):
-                states.append(walk.extend(word, i, states))
+            walk.extend(word, shared_n, states)
             before, pieces, i = word, [], len(word)
             while i:
-                n = states[i][1]
-                pieces.append(word[i - n:i])
-                i -= n
-            yield pieces[::-1]
+                state = states[i]
+                pieces.append(state[0])
+                i -= state[1]
+            pieces.reverse()
+            yield pieces
 
     def word_ids(self, words: list[str]) -> dict[str, list[int]]:
         """Ids of distinct marked words, in any order."""
@@ -238,7 +293,7 @@ class PieceCodec:
         texts = pc.fill_null(texts.cast(pa.string()), "")
         lists = pc.split_pattern(texts, " ")
         coded = lists.flatten().dictionary_encode()
-        if len(self.words.keys) >= MEMO_CHUNKS:
+        if len(self.words.keys) >= MEMO_WORDS:
             self.words = _Memo()
         row = self.words.rows(coded.dictionary, self._learn)[coded.indices.to_numpy(zero_copy_only=False)]
         n = self.words.n[row]
