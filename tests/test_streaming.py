@@ -1,4 +1,4 @@
-"""Snapshot stream: each landed manifest is reported exactly once."""
+"""Snapshot stream: each landed manifest is reported at least once, and again only over its own output."""
 
 import json
 import os
