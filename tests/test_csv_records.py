@@ -102,6 +102,15 @@ def test_types_missing_columns_and_errors(spark, scratch):
         read_csv_records(spark, f"{scratch}/open.csv").collect()
 
 
+def test_filters_on_typed_columns(spark, scratch):
+    """Later filters meet the parsing; a header is never parsed as a row."""
+    write(f"{scratch}/f/one.csv", [["n", "d"], *[[str(k), "2024-01-31" if k % 2 else ""] for k in range(50)]])
+    df = read_csv_records(spark, f"{scratch}/f", schemas._struct(("n", schemas._I), ("d", schemas._D)))
+    assert df.where("n >= 40 AND d IS NOT NULL").count() == 5
+    assert df.where("d = DATE '2024-01-31'").select("n").distinct().count() == 25
+    assert df.groupBy("d").count().count() == 2
+
+
 def test_empty_file_of_records(spark, scratch):
     write(f"{scratch}/e/one.csv", [["a", "b"]])
     assert read_csv_records(spark, f"{scratch}/e").columns == ["a", "b"]

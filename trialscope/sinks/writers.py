@@ -84,7 +84,7 @@ def write_unless_empty(df: DataFrame, write, path: str, *args, counted: Column |
     write(df.observe(seen, rows.alias("rows")), draft, *args, **kwargs)
     target, written = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, draft))
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not seen.get["rows"]:
+    if not seen.get.get("rows"):
         fs.delete(written, True)
         return None
     fs.delete(target, True)

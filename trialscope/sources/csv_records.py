@@ -90,5 +90,7 @@ def read_csv_records(spark: SparkSession, path: str, schema: T.StructType | None
     is_header = F.when(F.col("record") > 0, False).when(found == expected, True).otherwise(
         F.raise_error(F.concat(F.lit("another header in "), F.col("file"))))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.fields)
-    parsed = rows.where(~is_header).select(F.from_csv("text", ddl, PARSER).alias("row"))
+    # a header is no text to parse, in whatever order later filters are evaluated
+    body = rows.select(F.when(~is_header, F.col("text")).alias("body")).where(F.col("body").isNotNull())
+    parsed = body.select(F.from_csv("body", ddl, PARSER).alias("row"))
     return parsed.select([F.col(f"row.`{n}`").alias(n) for n in (schema.fieldNames() if schema else names)])
