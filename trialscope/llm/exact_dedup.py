@@ -345,7 +345,9 @@ def exact_duplicates(docs: DataFrame, key_bits: int = KEY_BITS, page: int = PAGE
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row, all columns, of each group: the row that stays."""
     rows, answers = looked_up(docs)
-    best = (rows.join(answers, ["sha", "part"])
-            .where(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("own_code") == F.col("n_code")))
-            .groupBy("sha", "keep_id").agg(F.min("mark").alias("mark")))
-    return shared.rows_marked(docs, best.select(F.col("keep_id").alias("doc_id"), "mark"))
+    texts = (rows.join(answers, ["sha", "part"])
+             .where(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("own_code") == F.col("n_code")))
+             .groupBy("sha", "keep_id", "mark").agg(F.count("*").alias("rows")))
+    least = texts.groupBy("sha").agg(F.min("mark").alias("mark"))
+    best = texts.join(least, ["sha", "mark"])
+    return shared.rows_marked(docs, best.select(F.col("keep_id").alias("doc_id"), "mark", "rows"))

@@ -101,12 +101,17 @@ def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = SLICE_BYTES
 
 def rows_marked(docs: DataFrame, stay: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose doc_id and text hash (``mark``,
-    xxhash64) are in ``stay``; of rows that are equal in both, one."""
+    xxhash64) are in ``stay`` (doc_id, mark, rows: how many rows have both); of
+    several, one. Texts are shuffled once and sorted only where rows repeat."""
     name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    own = docs.select("*", name(F.col("doc_id")).alias("__id"), F.xxhash64(name(F.col("text"))).alias("__mark"))
-    stay = stay.select(name(F.col("doc_id")).alias("__id"), F.col("mark").alias("__mark")).distinct()
     key = ["__id", "__mark"]
-    return own.join(stay, key, "left_semi").dropDuplicates(key).select([F.col(f"`{c}`") for c in docs.columns])
+    own = docs.select("*", name(F.col("doc_id")).alias("__id"), F.xxhash64(name(F.col("text"))).alias("__mark"))
+    stay = stored(stay.groupBy(name(F.col("doc_id")).alias("__id"), F.col("mark").alias("__mark"))
+                  .agg(F.sum("rows").alias("rows")), "stay")
+    kept = own.join(stay.select(key).hint("shuffle_hash"), key, "left_semi")
+    if not stay.where("rows > 1").isEmpty():
+        kept = kept.dropDuplicates(key)
+    return kept.select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def keep_rows(docs: DataFrame, judge: Callable[[pa.Array], np.ndarray]) -> DataFrame:

@@ -248,5 +248,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, max_bits: int = MAX_B
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row, all columns, of each group of near duplicates."""
     found = components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = found.groupBy("root", "component_id").agg(F.min("mark").alias("mark"))
-    return shared.rows_marked(docs, stay.select(F.col("component_id").alias("doc_id"), "mark"))
+    texts = found.groupBy("root", "component_id", "mark").agg(F.count("*").alias("rows"))
+    least = texts.groupBy("root").agg(F.min("mark").alias("mark"))
+    stay = texts.join(least, ["root", "mark"])
+    return shared.rows_marked(docs, stay.select(F.col("component_id").alias("doc_id"), "mark", "rows"))
