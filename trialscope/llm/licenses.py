@@ -32,6 +32,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import shared
+
 LEAST = 0.8
 CHUNK = 4096  # words in which one row looks for the beginnings of passages
 
@@ -225,11 +227,25 @@ def license_passages(docs: DataFrame, least: float = LEAST, templates=TEMPLATES,
         (-F.col("f.worst")).alias("dice"))
 
 
+def able_docs(docs: DataFrame, least: float = LEAST, templates=TEMPLATES) -> DataFrame:
+    """(doc_id, text) of the documents that can have a match: a unit's or a
+    passage's bigrams are the text's, and one that matches a template has at
+    least ``least / (2 - least)`` of the template's."""
+    own = [x for x in (_python_bigrams(t) for _, t in templates) if x]
+    fewest = min((math.ceil(least / (2 - least) * len(x) - 1e-9) for x in own), default=0)
+    known = sorted({" ".join(p) for x in own for p in x})
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    hits = F.array_distinct(F.filter(_pairs(F.col("text")), lambda x: x.isin(known)))
+    return text.where(F.size(hits) >= max(fewest, 1))
+
+
 def license_notices(docs: DataFrame, least: float = LEAST, templates=TEMPLATES) -> DataFrame:
     """(doc_id, unit, unit_no, first_word, last_word, license, dice): units
     (line, paragraph, text; without word places) and passages (without a unit
-    number) together."""
+    number) together. The documents that can have one are found in one pass
+    over all texts and written; only their units and passages are looked at."""
     none = F.lit(None).cast("int")
+    docs = shared.stored(able_docs(docs, least, templates), "license-docs")
     units_found = license_scan(docs, least, templates).select(
         "doc_id", "unit", "unit_no", none.alias("first_word"), none.alias("last_word"), "license", "dice")
     return units_found.unionByName(license_passages(docs, least, templates).select(
