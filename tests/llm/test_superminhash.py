@@ -138,6 +138,25 @@ def test_signatures_estimate_similarity_with_less_variance():
     assert abs(np.mean(errors)) < 0.01 and np.var(errors) < 0.95 * independent
 
 
+@pytest.mark.parametrize("most", [3, 1 << 20])
+def test_forest_joins_what_is_linked(most):
+    rng = random.Random(6)
+    links = [(rng.randrange(60), rng.randrange(60)) for _ in range(70)]
+    forest = superminhash.Forest(most)
+    kept = [link for link in links if link[0] != link[1] and forest.join(*link)]
+
+    def groups(pairs):
+        root = {k: {k} for k in range(60)}
+        for x, y in pairs:
+            both = root[x] | root[y]
+            for k in both:
+                root[k] = both
+        return {frozenset(g) for g in root.values()}
+    assert groups(kept) == groups(links)
+    if most > 60:
+        assert len(kept) == 60 - len(groups(links))
+
+
 def test_bound_never_rejects_a_similar_set():
     rng = np.random.default_rng(3)
     for n in (5, 100, 3000, 60_000):

@@ -200,38 +200,43 @@ def similar(a: np.ndarray, b: np.ndarray, least: int = LEAST) -> bool:
     return 100 * both >= least * (len(a) + len(b) - both)
 
 
+class Forest:
+    """Union-find over node numbers: ``join`` says whether a link is the first
+    between its two components."""
+
+    def __init__(self, most: int = FOREST):
+        self.root: dict[int, int] = {}
+        self.most = most
+
+    def find(self, a: int) -> int:
+        root = self.root
+        while (up := root.setdefault(a, a)) != a:
+            root[a] = a = root.setdefault(up, up)  # path halving
+        return a
+
+    def join(self, x: int, y: int) -> bool:
+        if len(self.root) > self.most:
+            self.root.clear()  # later links may repeat a join, never lose one
+        a, b = self.find(x), self.find(y)
+        if a != b:
+            self.root[max(a, b)] = min(a, b)
+        return a != b
+
+
 def _confirm(least: int):
+    """The similar pairs (x, y, with their sets a and b), as a spanning forest
+    of what a task sees."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
         for batch in batches:
             sets = [batch.column(c).cast(pa.binary()) for c in ("a", "b")]
+            ends = [batch.column(c).to_pylist() for c in ("x", "y")]
             hit = [similar(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64), least)
-                   for a, b in zip(*sets)]
+                   and forest.join(x, y) for a, b, x, y in zip(*sets, *ends)]
             yield batch.select(["x", "y"]).filter(pa.array(hit, pa.bool_()))
     return run
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The links of a task that join two components, by union-find."""
-    root: dict[int, int] = {}
-
-    def find(a: int) -> int:
-        while (up := root.setdefault(a, a)) != a:
-            root[a] = a = root.setdefault(up, up)  # path halving
-        return a
-
-    for batch in batches:
-        kept = []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-            a, b = find(x), find(y)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                kept.append((x, y))
-        if kept:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*kept)], names=["x", "y"])
-        if len(root) > FOREST:
-            root.clear()  # later links may repeat a join, never lose one
-
-
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in shared.text_slices(batches):
@@ -258,7 +263,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int =
     both = (pairs.join(sets.select(F.col("node").alias("y"), F.col("elements").alias("b")), "y")
             .join(sets.select(F.col("node").alias("x"), F.col("elements").alias("a")), "x"))
     links = both.select("x", "y", "a", "b").mapInArrow(_confirm(least), PAIRS)
-    return shared.stored(links.mapInArrow(_forest, PAIRS), "links")
+    return shared.stored(links, "links")
 
 
 # --- candidates -------------------------------------------------------------------
