@@ -230,13 +230,19 @@ def license_passages(docs: DataFrame, least: float = LEAST, templates=TEMPLATES,
 def able_docs(docs: DataFrame, least: float = LEAST, templates=TEMPLATES) -> DataFrame:
     """(doc_id, text) of the documents that can have a match: a unit's or a
     passage's bigrams are the text's, and one that matches a template has at
-    least ``least / (2 - least)`` of the template's."""
-    own = [x for x in (_python_bigrams(t) for _, t in templates) if x]
-    fewest = min((math.ceil(least / (2 - least) * len(x) - 1e-9) for x in own), default=0)
-    known = sorted({" ".join(p) for x in own for p in x})
+    least ``need`` of its ``size``, so at least one of any ``size - need + 1``
+    of them. The longest are looked for, as they are the rarest."""
+    fewest, known, rare = 1 << 30, set(), set()
+    for _, body in templates:
+        own = sorted({" ".join(p) for p in _python_pairs(body)}, key=lambda x: (-len(x), x))
+        if own:
+            need = max(1, math.ceil(least / (2 - least) * len(own) - 1e-9))
+            fewest, known, rare = min(fewest, need), known.union(own), rare.union(own[:len(own) - need + 1])
+    known, rare = sorted(known), sorted(rare)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     hits = F.array_distinct(F.filter(_pairs(F.col("text")), lambda x: x.isin(known)))
-    return text.where(F.size(hits) >= max(fewest, 1))
+    # one lambda over the hits, so that a text is paired once
+    return text.where(F.exists(F.array(hits), lambda h: (F.size(h) >= fewest) & F.exists(h, lambda x: x.isin(rare))))
 
 
 def license_notices(docs: DataFrame, least: float = LEAST, templates=TEMPLATES) -> DataFrame:
