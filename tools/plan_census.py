@@ -88,8 +88,8 @@ def main(argv):
         "",
         f"Final adaptive plans after execution at `{sf_dir}` on `local[8]` (AQE on), from",
         "`tools/plan_census.py`. Counts of plan nodes in the plan tree of the final query",
-        "(`build_jobs` are jobs run while building it; five of them read the footers of the five base",
-        "tables). `shuffles` are hash / range exchanges,",
+        "(`build_jobs` are jobs run while building it: the matrix needs its columns, a rank its order",
+        "columns, the round trips write first). `shuffles` are hash / range exchanges,",
         "`broadcasts` broadcast exchanges (AQE turns shuffle joins of small runtime sides",
         "into broadcast joins), `single_partition` exchanges into one partition: they",
         "occur only above results bounded by a category domain, a top-N or a partition",
