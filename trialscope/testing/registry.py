@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -64,10 +64,20 @@ def _csv_roundtrip(spark, sf_dir):
     return events_file.read_events_csv(spark, path)
 
 
+def _round_sum(col) -> Column:
+    """The exact sum of a long column, brought into a long's range by whole
+    turns of 2^64: the plain sum as long as that fits. The halves of a value
+    are summed apart, which 2^31 times as many rows cannot overflow."""
+    low, whole = 24, lambda n: F.lit(str(n)).cast("decimal(20,0)")
+    high = F.sum(F.shiftright(col, low)).cast("decimal(20,0)") * F.lit(1 << low)
+    total = high + F.sum(col.bitwiseAND((1 << low) - 1)).cast("decimal(20,0)")
+    return (F.pmod(total + whole(1 << 63), whole(1 << 64)) - whole(1 << 63)).cast("long")
+
+
 def _tables_roundtrip(spark, sf_dir):
     """The four tables written and read back with `read_tables`: row, study
-    and text counts and a sum over a hash of each row's values (CSV for two,
-    parquet for two)."""
+    and text counts and a sum over a hash of each row's values, in a long that
+    goes round past its end (CSV for two, parquet for two)."""
     root, out = _scratch(spark, "tables"), []
     tables = _t(spark, sf_dir)
     for fmt, names in (("csv", ("studies", "sponsors")), ("parquet", ("interventions", "conditions"))):
@@ -84,7 +94,7 @@ def _tables_roundtrip(spark, sf_dir):
         hashed = F.conv(F.left(F.md5(F.encode(row, "UTF-8")), F.lit(12)), 16, 10).cast("long")
         out.append(df.agg(F.lit(name).alias("name"), F.count("*").alias("n"),
                           F.countDistinct("nct_id").alias("studies"), F.count(text).alias("texts"),
-                          F.sum(hashed).alias("checksum")))
+                          _round_sum(hashed).alias("checksum")))
     return reduce(DataFrame.unionByName, out)
 
 
