@@ -34,6 +34,27 @@ def test_event_table_over_buckets_shuffles_nothing(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def _wide_studies(spark):
+    """640 studies of 1 MB each."""
+    days = [F.date_add(F.lit(dt.date(2012, 1, 1)), (F.col("id") % 500).cast("int")).alias(d) for d in C.DATE_COLUMNS]
+    df = spark.range(0, 640, 1, 8).select("*", *days, F.repeat(F.lit("x"), 1 << 20).alias("brief_title"),
+                                          F.format_string("NCT%08d", "id").alias("nct_id"))
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schemas.STUDIES.fields])
+
+
+def test_buckets_grow_with_the_largest_table(spark):
+    tables = G.tables(spark) | {"studies": _wide_studies(spark)}
+    write_bucketed(tables, "wide_test", 2)
+    back = read_bucketed(spark, "wide_test")
+    assert len(back["studies"].inputFiles()) == 3  # 640 MB, 256 MB each
+    found = spark.sql("DESCRIBE EXTENDED wide_test_sponsors").where("col_name = 'Num Buckets'").first()
+    assert found.data_type == "3"
+    assert back["studies"].select("nct_id", F.length("brief_title")).distinct().count() == 640
+    for name in ("sponsors", "interventions", "conditions"):
+        assert sorted(map(str, back[name].collect())) == sorted(map(str, tables[name].collect()))
+
+
 def test_bits_are_interleaved(spark):
     day = lambda n: dt.date(1900, 1, 1) + dt.timedelta(n)
     rows = [(day(5), day(3), day(6)), (None, day(1), None), (dt.date(1800, 1, 1), day(0), dt.date(2900, 1, 1))]
