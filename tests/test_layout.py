@@ -107,6 +107,16 @@ def test_clustered_studies_are_mostly_skipped(spark, scratch):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_clustered_files_grow_with_the_table(spark, scratch):
+    wide = _wide_studies(spark)
+    write_clustered(wide, f"{scratch}/wide", 2)
+    files = glob.glob(f"{scratch}/wide/*.parquet")
+    assert len(files) == 3  # 640 MB, 256 MB each
+    assert max(pq.read_metadata(f).num_rows for f in files) < 300
+    back = spark.read.parquet(f"{scratch}/wide")
+    assert back.exceptAll(wide).count() == 0 and wide.exceptAll(back).count() == 0
+
+
 def test_derived_bounds_give_even_ranges(spark, scratch):
     """Ids crowd at one end and differ in length; a third are one id."""
     rng = random.Random(1)
