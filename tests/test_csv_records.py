@@ -2,9 +2,12 @@
 the file is cut."""
 
 import csv
+import glob
 import os
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from trialscope import schemas
 from trialscope.sources import read_events_csv, read_tables
@@ -72,6 +75,48 @@ def test_a_large_file_is_many_tasks_and_equals_the_whole_file_reader(spark, scra
     assert spark.read.text(path).rdd.getNumPartitions() >= 20
 
 
+def _shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f: os.path.getsize(f) for d in dirs for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data")}
+
+
+def test_only_records_cut_by_a_block_are_shuffled(spark, scratch, cut):
+    rng = random.Random(1)
+    rows = [[str(k), "\n".join(rng.randbytes(400).hex() for _ in range(5)), "x"] for k in range(2000)]
+    write(f"{scratch}/t/one.csv", ROWS[:1] + rows)
+    size = os.path.getsize(f"{scratch}/t/one.csv")
+    cut(size // 20)
+    before = _shuffle_files(spark)
+    got = read_csv_records(spark, f"{scratch}/t").agg(F.count("b"), F.sum(F.length("b"))).first()
+    assert tuple(got) == (2000, sum(len(r[1]) for r in rows))
+    moved = sum(n for f, n in _shuffle_files(spark).items() if f not in before)
+    assert 0 < moved < 0.1 * size
+
+
+def test_a_record_over_many_blocks_and_batches(spark, scratch, cut):
+    rows = [["1", "\n".join(f"line {k}" for k in range(3000)), "x"], ["2", "", "y"], ["3", "\n" * 500, '"\n"'], ["4", "p", "z"]]
+    write(f"{scratch}/t/one.csv", ROWS[:1] + rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for n in (700, 5000, 10 ** 6):
+            cut(n)
+            got = sorted(tuple(r) for r in read_csv_records(spark, f"{scratch}/t").collect())
+            assert got == sorted((r[0], r[1] or None, r[2]) for r in rows), n
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_compressed_files_are_bounded_and_read_back(spark, scratch, monkeypatch):
+    from trialscope.sinks import write_csv, writers
+    monkeypatch.setattr(writers, "FILE_ROWS", 100)
+    want = [(k, f'"{k}"\n,text ' * 50) for k in range(1000)]
+    write_csv(spark.createDataFrame(want, "k int, t string").repartition(2), f"{scratch}/gz", compression="gzip")
+    files = glob.glob(f"{scratch}/gz/*.csv.gz")
+    assert 10 <= len(files) <= 12 and sum(map(os.path.getsize, files)) < 0.2 * sum(len(t) for _, t in want)
+    back = read_csv_records(spark, f"{scratch}/gz", schemas._struct(("k", schemas._I), ("t", schemas._S)))
+    assert sorted(map(tuple, back.collect())) == want
+
+
 def test_several_files_each_with_a_header(spark, scratch, cut):
     for k in range(3):
         write(f"{scratch}/many/p{k}.csv", ROWS[:1] + [[f"{k}{r[0]}", *r[1:]] for r in ROWS[1:]])

@@ -21,6 +21,7 @@ from ..schemas import EVENT_COLUMNS
 CSV_WRITE_OPTIONS = {"header": "true", "escape": '"', "quote": '"',
                      "dateFormat": "yyyy-MM-dd", "nullValue": "",
                      "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+FILE_ROWS = 1 << 17
 
 
 def _maybe_single(df: DataFrame, single_file: bool) -> DataFrame:
@@ -40,9 +41,11 @@ def landed(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, order=None, single_file: bool = False,
-              mode: str = "overwrite") -> str:
-    """CSV with a header row, RFC 4180 quoting, null as an empty field."""
-    _ordered(df, order, single_file).write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+              mode: str = "overwrite", compression: str | None = None) -> str:
+    """CSV with a header row, RFC 4180 quoting, null as an empty field. A
+    compressed file is read by one task, so it gets FILE_ROWS rows at most."""
+    packed = {"compression": compression, "maxRecordsPerFile": str(FILE_ROWS)} if compression else {}
+    _ordered(df, order, single_file).write.mode(mode).options(**CSV_WRITE_OPTIONS, **packed).csv(path)
     return path
 
 
@@ -61,8 +64,11 @@ def write_json(df: DataFrame, path: str, order=None, single_file: bool = False,
     return path
 
 
-def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite") -> str:
+def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite",
+                  compression: str | None = None) -> str:
     w = df.write.mode(mode)
+    if compression:
+        w = w.option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

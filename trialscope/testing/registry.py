@@ -77,15 +77,16 @@ def _round_sum(col) -> Column:
 def _tables_roundtrip(spark, sf_dir):
     """The four tables written and read back with `read_tables`: row, study
     and text counts and a sum over a hash of each row's values, in a long that
-    goes round past its end (CSV for two, parquet for two)."""
+    goes round past its end (CSV for two, parquet for two; compressed, since
+    the tables lie on disk whole)."""
     root, out = _scratch(spark, "tables"), []
     tables = _t(spark, sf_dir)
     for fmt, names in (("csv", ("studies", "sponsors")), ("parquet", ("interventions", "conditions"))):
         for name in names:
             if fmt == "csv":
-                writers.write_csv(tables[name], f"{root}/{name}")
+                writers.write_csv(tables[name], f"{root}/{name}", compression="gzip")
             else:
-                writers.write_parquet(tables[name], f"{root}/{name}.parquet")
+                writers.write_parquet(tables[name], f"{root}/{name}.parquet", compression="zstd")
     back = (read_tables(spark, {n: f"{root}/{n}" for n in ("studies", "sponsors")}, "csv")
             | read_tables(spark, {n: f"{root}/{n}.parquet" for n in ("interventions", "conditions")}))
     for name, df in back.items():
