@@ -2,7 +2,9 @@
 
 import datetime as dt
 import glob
+import os
 import random
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from trialscope import config as C
 from trialscope import operators as O
 from trialscope import schemas
-from trialscope.sinks import read_bucketed, write_bucketed, write_clustered
+from trialscope.sinks import layout, read_bucketed, write_bucketed, write_clustered
 from trialscope.sinks.layout import interleaved
 from trialscope.sources import equi_depth_bounds, nct_id_predicates
 
@@ -55,6 +57,42 @@ def test_buckets_grow_with_the_largest_table(spark):
         assert sorted(map(str, back[name].collect())) == sorted(map(str, tables[name].collect()))
 
 
+def _shuffled(spark):
+    """MB in shuffle files, which go a moment after a write."""
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    size = lambda: sum(os.path.getsize(f) for d in dirs for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data"))
+    least = size()
+    for _ in range(20):
+        time.sleep(0.25)
+        least = min(least, size())
+    return least / 2 ** 20
+
+
+def _random_studies(spark):
+    """320 studies of 256 KB each that no codec makes smaller by much."""
+    text = F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(4096)), lambda k: F.sha2(F.concat_ws("-", "id", k), 256)))
+    return _wide_studies(spark).withColumn("id", F.substring("nct_id", 4, 8)).where("id < 320").withColumn(
+        "brief_title", text).drop("id")
+
+
+def test_large_buckets_are_written_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(layout, "ROUND_BYTES", 20 << 20)
+    monkeypatch.setattr(layout, "PART_BYTES", 10 << 20)
+    studies = _random_studies(spark)
+    before = _shuffled(spark)
+    tables = G.tables(spark) | {"studies": studies}
+    write_bucketed(tables, "rounds_test", 2)
+    assert _shuffled(spark) <= before + 1  # nothing of some 45 MB stays
+    back = read_bucketed(spark, "rounds_test")
+    assert len(back["studies"].inputFiles()) == 9  # 80 MB, 10 MB each: one file a bucket, from five rounds
+    assert back["studies"].exceptAll(studies).count() == 0 and studies.exceptAll(back["studies"]).count() == 0
+    for name in ("sponsors", "interventions", "conditions"):
+        assert sorted(map(str, back[name].collect())) == sorted(map(str, tables[name].collect()))
+    assert spark.conf.get(layout.CLEANUP) == "false"
+    write_bucketed(tables, "rounds_test", 2)
+    assert read_bucketed(spark, "rounds_test")["studies"].count() == 320
+
+
 def test_bits_are_interleaved(spark):
     day = lambda n: dt.date(1900, 1, 1) + dt.timedelta(n)
     rows = [(day(5), day(3), day(6)), (None, day(1), None), (dt.date(1800, 1, 1), day(0), dt.date(2900, 1, 1))]
