@@ -93,6 +93,25 @@ def test_large_buckets_are_written_in_rounds(spark, monkeypatch):
     assert read_bucketed(spark, "rounds_test")["studies"].count() == 320
 
 
+def test_large_clustered_tables_are_written_in_rounds(spark, scratch, monkeypatch):
+    monkeypatch.setattr(layout, "ROUND_BYTES", 20 << 20)
+    monkeypatch.setattr(layout, "PART_BYTES", 10 << 20)
+    studies = _random_studies(spark)
+    before = _shuffled(spark)
+    for _ in range(2):  # the second takes the first one's place
+        write_clustered(studies, f"{scratch}/rounds", 2)
+    assert _shuffled(spark) <= before + 1
+    files = glob.glob(f"{scratch}/rounds/*.parquet")
+    assert 9 <= len(files) <= 12
+    back = spark.read.parquet(f"{scratch}/rounds")
+    assert back.exceptAll(studies).count() == 0 and studies.exceptAll(back).count() == 0
+    ranges = sorted((pq.read_table(f, columns=["start_date"])["start_date"].to_pylist() for f in files), key=min)
+    assert all(max(a) <= min(b) for a, b in zip(ranges, ranges[1:]))  # the three dates are one here
+    # one place for all rows: one round
+    write_clustered(studies.withColumns({d: F.lit(dt.date(2012, 1, 1)) for d in C.DATE_COLUMNS}), f"{scratch}/same", 2)
+    assert spark.read.parquet(f"{scratch}/same").count() == 320
+
+
 def test_bits_are_interleaved(spark):
     day = lambda n: dt.date(1900, 1, 1) + dt.timedelta(n)
     rows = [(day(5), day(3), day(6)), (None, day(1), None), (dt.date(1800, 1, 1), day(0), dt.date(2900, 1, 1))]
